@@ -87,14 +87,13 @@ def a2_exported_counts(t: Roles) -> DataFrame:
 def a3_read_predictions(t: Roles) -> DataFrame:
     """Comment lines are skipped and the first column renamed."""
     path = new_table_path(t.spark, "a3")
-    lines = t.table("part").select(F.concat_ws(
-        "\t",
+    wide = t.table("part").select(
         F.when(F.col("p_partkey") % 50 == 7, F.concat(F.lit("#"), "p_name"))
-        .otherwise(F.concat(F.lit("P"), "p_partkey")),
-        F.col("p_size") / 2,
-    ).alias("function\thalf"))
-    # The header text names the single column of lines, so each file starts with it.
-    lines.write.csv(path, header=True, sep="\x01", quote="", compression="gzip")
+        .otherwise(F.concat(F.lit("P"), "p_partkey")).alias("function"),
+        (F.col("p_size") / 2).alias("half"),
+    )
+    # Another comment mark for the writer, or it would quote the # lines.
+    wide.write.option("comment", "~").csv(path, sep="\t", header=True, compression="gzip")
     return delimited.read_predictions(t.spark, path, first_name="KO")
 
 
