@@ -211,7 +211,7 @@ _PERMANOVA = _AITCHISON + """,
     count(*) OVER (PARTITION BY "Region") AS label_n FROM metadata
     WHERE "Sample" IN (SELECT "Sample" FROM strat)),
   drawn AS (SELECT p, "Sample", row_number() OVER (PARTITION BY p
-    ORDER BY md5('42|' || p || '|' || "Sample"), "Sample") AS place
+    ORDER BY substr(md5('42|' || p || '|' || "Sample"), 1, 15), "Sample") AS place
     FROM layout, (SELECT unnest(range(1, 1000)) AS p)),
   labels AS (SELECT 0 AS p, "Sample", "Region", label_n FROM layout UNION ALL
     SELECT p, d."Sample", l."Region", l.label_n FROM drawn d JOIN layout l USING (place)),

@@ -13,8 +13,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(v) for v in x])
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in x])
 
 
 def _normal_two_sided(z: np.ndarray) -> np.ndarray:
@@ -22,7 +27,7 @@ def _normal_two_sided(z: np.ndarray) -> np.ndarray:
     z = np.asarray(z, dtype=float)
     out = np.full(z.shape, np.nan)
     ok = ~np.isnan(z)
-    out[ok] = np.minimum(1.0, _erfc(z[ok] / math.sqrt(2.0)).astype(float))
+    out[ok] = np.minimum(1.0, _erfc(z[ok] / math.sqrt(2.0)))
     return out
 
 
@@ -48,7 +53,7 @@ def _chi2_upper(x: np.ndarray, df: np.ndarray) -> np.ndarray:
             for i in range(1, (k - 1) // 2 + 1):
                 total += term
                 term = term * half / (i + 0.5)
-            out[rows] = _erfc(np.sqrt(half)).astype(float) + np.exp(-half) * total
+            out[rows] = _erfc(np.sqrt(half)) + np.exp(-half) * total
     return out
 
 
@@ -82,7 +87,7 @@ def _incomplete_beta(a, b, x):
     inside = (xx > 0) & (xx < 1)
     safe = np.where(inside, xx, 0.5)
     front = np.exp(
-        (_lgamma(aa + bb) - _lgamma(aa) - _lgamma(bb)).astype(float)
+        _lgamma(aa + bb) - _lgamma(aa) - _lgamma(bb)
         + aa * np.log(safe) + bb * np.log1p(-safe)
     ) / aa
     part = np.where(inside, front * _beta_fraction(aa, bb, safe), np.where(xx <= 0, 0.0, 1.0))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simplexa.names import FEATURE, SAMPLE, VALUE
-from simplexa.operators.reshape import full_grid
+from simplexa.operators.reshape import absent_cells
 from simplexa.sources.shared import stored
 
 
@@ -69,18 +69,18 @@ def replace_zeros(long: DataFrame) -> DataFrame:
     cells = stored(cell_totals(long), "cells")
     features = cells.select(FEATURE).distinct()
     constants = sample_constants(cells, features).filter(F.col("nnz") > 0)
-    grid = full_grid(constants.select(SAMPLE), features)
-    return (
-        grid.join(cells, [SAMPLE, FEATURE], "left")
+    present = (
+        cells.filter(F.col(VALUE) > 0)
         .join(constants, SAMPLE)
         .select(
-            SAMPLE,
-            FEATURE,
-            F.when(F.col(VALUE) > 0, F.col(VALUE) / F.col("total") * F.col("kept_share"))
-            .otherwise(F.col("delta"))
-            .alias("proportion"),
+            SAMPLE, FEATURE,
+            (F.col(VALUE) / F.col("total") * F.col("kept_share")).alias("proportion"),
         )
     )
+    absent = absent_cells(
+        present, constants.select(SAMPLE, F.col("delta").alias("proportion")), features
+    )
+    return present.unionByName(absent)
 
 
 def clr(long: DataFrame, features: DataFrame | None = None) -> SparseClr:
@@ -106,11 +106,9 @@ def clr(long: DataFrame, features: DataFrame | None = None) -> SparseClr:
 
 def dense(table: SparseClr, value: str = VALUE) -> DataFrame:
     """Every (sample, feature) cell: samples x features rows by definition."""
-    grid = full_grid(table.baseline.select(SAMPLE), table.features)
-    return (
-        grid.join(table.cells, [SAMPLE, FEATURE], "left")
-        .join(table.baseline, SAMPLE)
-        .select(SAMPLE, FEATURE, F.coalesce("clr", "baseline").alias(value))
+    absent = absent_cells(table.cells, table.baseline, table.features)
+    return table.cells.select(SAMPLE, FEATURE, F.col("clr").alias(value)).unionByName(
+        absent.select(SAMPLE, FEATURE, F.col("baseline").alias(value))
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from simplexa.names import FEATURE, SAMPLE, VALUE
 from simplexa.operators.composition import SparseClr, cell_totals
+from simplexa.operators.joins import spread_out
 from simplexa.sources.shared import stored
 
 ALPHA_METRICS = ("observed_features", "shannon", "pielou_e", "simpson")
@@ -164,7 +165,7 @@ def beta_diversity(
         F.explode(F.sequence(F.lit(0), feature_blocks - 1)).alias("_f"),
     )
     tiles = _tiles(placed.unionByName(named), blocks)
-    pairs = tiles.groupBy("_i", "_j", "_f").applyInPandas(
+    pairs = spread_out(tiles, "_i", "_j", "_f").groupBy("_i", "_j", "_f").applyInPandas(
         _tile_distance(metric),
         "sample_i string, sample_j string, part double, stored double, x_i double, x_j double",
     )

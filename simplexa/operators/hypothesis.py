@@ -273,10 +273,10 @@ def spearman(
     so a heavily tied value meets one rank row.
     """
     pairs = _attribute_pairs(long, metadata, attribute, sample, feature, value)
-    counted = value_counts(pairs, [feature, "_x", "_y"], "_pairs")
+    counted = stored(value_counts(pairs, [feature, "_x", "_y"], "_pairs"), "pairs")
 
     def centred(column, name):
-        ranks = midranks(pairs, [feature], column, (), slice_rows)
+        ranks = midranks(counted, [feature], column, (), slice_rows, "_pairs")
         return ranks.select(
             feature, column, (F.col("midrank") - (F.col("total") + 1) / 2).alias(name)
         )

@@ -18,6 +18,17 @@ from simplexa.names import SAMPLE
 HOT_ROWS = 2_000_000
 
 
+def spread_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over at least one partition per core.
+
+    For work that is heavy per row: adaptive execution merges partitions by
+    their bytes, and a fixed number keeps it from merging these.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
+
+
 def shared_ids(*tables: DataFrame, key: str) -> DataFrame:
     """Distinct ids that occur in every table."""
     first, *rest = tables

@@ -51,7 +51,7 @@ def slice_by_order(
     Without keys the whole table is one group.  Equal values of ``order`` share
     a slice, so callers pre-aggregate ties or order by something unique.  Cut
     rows carry ``_slice`` and ``_cut``, the latter true if the key has several.
-    ``store=False`` is for a table that is a stored one already.
+    ``store=False`` is for a table that is stored already or cheap to build.
     """
     rows = stored(df, "ordered") if store else df
     if not keys:
@@ -127,10 +127,14 @@ def positions(
     order: Sequence[str],
     name: str = "position",
     slice_rows: int = SLICE_ROWS,
+    store: bool = True,
 ) -> DataFrame:
-    """Number the rows 1, 2, ... per key in the order of the unique ``order``."""
+    """Number the rows 1, 2, ... per key in the order of the unique ``order``.
+
+    ``store=False`` is for a table that is cheap to build again.
+    """
     df = df.withColumn("_order", F.struct(*order) if len(order) > 1 else F.col(order[0]))
-    slices = slice_by_order(df, keys, "_order", slice_rows)
+    slices = slice_by_order(df, keys, "_order", slice_rows, store)
     local = F.row_number().over(Window.partitionBy(*slices.block).orderBy("_order"))
     numbered = carry(slices.rows.withColumn("_local", local), slices, F.lit(1))
     return numbered.withColumn(name, F.col("_local") + F.col("_before")).drop(*_HELPERS)
@@ -147,15 +151,18 @@ def midranks(
     value: str,
     extra: Sequence[str] = (),
     slice_rows: int = SLICE_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Tie-averaged rank of each distinct value inside its key.
 
     Returns distinct (keys, value, extra) rows with ``n`` rows behind each,
     ``ties`` rows at the value, ``total`` rows in the key, and ``midrank``.
-    Missing values take no rank.
+    Missing values take no rank.  ``weight`` names the number of rows that each
+    input row stands for.
     """
     present = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = value_counts(present, [*keys, value, *extra], "n")
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = present.groupBy(*keys, value, *extra).agg(rows.alias("n"))
     ranked = running_counts(counts, keys, value, "n", slice_rows)
     return ranked.select(
         *keys,

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from simplexa.names import SAMPLE
 from simplexa.operators.checks import require_samples
+from simplexa.operators.joins import spread_out
 from simplexa.operators.ordered import positions
+from simplexa.sources.shared import stored
 
 # Fixed value: number of label permutations.
 PERMUTATIONS = 999
@@ -28,14 +30,20 @@ def permuted_labels(
     label at their place in the group-sorted layout, so a rerun of a lost task
     draws the same permutation and group sizes never change.
     """
-    layout = positions(labels.select(sample, group), [], [group, sample], "_place")
+    layout = positions(labels.select(sample, group), [], [group, sample], "_place", store=False)
     sizes = layout.groupBy(group).agg(
-        F.min("_place").cast("int").alias("label"), F.count(F.lit(1)).cast("double").alias("label_n")
+        F.min("_place").cast("int").alias("label"), F.count(F.lit(1)).cast("int").alias("label_n")
     )
     coded = layout.join(sizes, group).select("_place", sample, "label", "label_n")
-    drawn = labels.select(sample, F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("permutation"))
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("permutation").cast("string"), F.col(sample)))
-    placed = positions(drawn.withColumn("_key", key), ["permutation"], ["_key", sample], "_place")
+    drawn = spread_out(labels, sample).select(
+        sample, F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("permutation")
+    )
+    # Sixty bits of the hash order the samples; equal keys fall back on the name.
+    text = F.concat_ws("|", F.lit(str(seed)), F.col("permutation").cast("string"), F.col(sample))
+    key = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    placed = positions(
+        drawn.withColumn("_key", key), ["permutation"], ["_key", sample], "_place", store=False
+    )
     shuffled = placed.join(coded.drop(sample), "_place").select(
         "permutation", sample, "label", "label_n"
     )
@@ -105,7 +113,7 @@ def permutation_statistics(
     )
     if samples is None:
         samples = distance_samples(distances)
-    within_table = labels.join(samples.select(SAMPLE), SAMPLE, "left_semi")
+    within_table = stored(labels.join(samples.select(SAMPLE), SAMPLE, "left_semi"), "labels")
     size = within_table.agg(F.count(F.lit(1)))
     blocks = F.greatest(F.lit(1), F.ceil(size.scalar() / block).cast("int"))
 
@@ -133,8 +141,8 @@ def permutation_statistics(
         F.least(one, two).alias("_i"), F.greatest(one, two).alias("_j"),
     )
     sums = (
-        tiles.groupBy("_i", "_j")
-        .cogroup(arrays.groupBy("_i", "_j"))
+        spread_out(tiles, "_i", "_j").groupBy("_i", "_j")
+        .cogroup(spread_out(arrays, "_i", "_j").groupBy("_i", "_j"))
         .applyInPandas(_within_sums(permutations + 1), "permutation int, within double")
         .groupBy("permutation")
         .agg(F.sum("within").alias("within"))

@@ -88,7 +88,8 @@ def transpose(wide: DataFrame, index: str, new_index: str, names: Sequence[str]
     return to_wide(long, new_index, index, "_cell", names)
 
 
-def full_grid(
+def absent_cells(
+    cells: DataFrame,
     samples: DataFrame,
     features: DataFrame,
     sample: str = SAMPLE,
@@ -96,28 +97,43 @@ def full_grid(
     chunk: int = 1024,
     spread: int = 64,
 ) -> DataFrame:
-    """Every (sample, feature) pair of two distinct-id tables.
-
-    Features are packed into arrays of about ``chunk`` names and joined to the
-    samples on (array number, sample hash), so a task unpacks whole arrays for
-    its share of the samples and only the short packed table is repeated.
+    """The (sample, feature) pairs without a stored cell, with the columns of
+    ``samples`` (one row each) attached.
+
+    Features are hashed into arrays of about ``chunk`` names.  Per sample and
+    array the stored names are gathered and taken away from the full array, so
+    only stored cells are shuffled and the absent ones are unpacked in place.
+    The packed names meet the samples on (array, sample hash), which spreads an
+    array over many tasks.  ``cells`` has one row per pair.
     """
     n_chunks = F.greatest(
         F.lit(1), F.ceil(features.agg(F.count(F.lit(1))).scalar() / chunk).cast("int")
     )
+
+    def chunk_of(column):
+        return F.pmod(F.xxhash64(column), n_chunks).cast("int").alias("_chunk")
+
     packed = (
-        features.select(feature, F.pmod(F.xxhash64(feature), n_chunks).cast("int").alias("_chunk"))
+        features.select(feature, chunk_of(feature))
         .groupBy("_chunk")
         .agg(F.collect_list(feature).alias("_names"))
         .withColumn("_spread", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     )
-    keyed = samples.select(
-        sample,
-        F.pmod(F.xxhash64(sample), F.lit(spread)).cast("int").alias("_spread"),
-        F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"),
+    stored_names = (
+        cells.select(sample, feature, chunk_of(feature))
+        .groupBy(sample, "_chunk")
+        .agg(F.collect_list(feature).alias("_stored"))
     )
-    return keyed.join(packed, ["_chunk", "_spread"]).select(
-        sample, F.explode("_names").alias(feature)
+    every = samples.withColumn("_chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
+    return (
+        every.join(stored_names, [sample, "_chunk"], "left")
+        .withColumn("_spread", F.pmod(F.xxhash64(sample), F.lit(spread)).cast("int"))
+        .join(packed, ["_chunk", "_spread"])
+        .withColumn(
+            feature,
+            F.explode(F.array_except("_names", F.coalesce("_stored", F.array().cast("array<string>")))),
+        )
+        .select(*samples.columns, feature)
     )
 
 
@@ -127,10 +143,11 @@ def complete_zeros(long: DataFrame, sample: str = SAMPLE, feature: str = FEATURE
     The result has samples x features rows by definition; operators that can
     work on the stored cells alone do not use it.
     """
-    cells = stored(long.groupBy(sample, feature).agg(F.sum(value).alias(value)), "cells")
-    grid = full_grid(
-        cells.select(sample).distinct(), cells.select(feature).distinct(), sample, feature
+    cells = stored(
+        long.groupBy(sample, feature).agg(F.sum(value).cast("double").alias(value)), "cells"
     )
-    return grid.join(cells, [sample, feature], "left").select(
-        sample, feature, F.coalesce(F.col(value), F.lit(0.0)).alias(value)
+    absent = absent_cells(
+        cells, cells.select(sample).distinct(), cells.select(feature).distinct(), sample, feature
     )
+    present = cells.select(sample, feature, F.coalesce(F.col(value), F.lit(0.0)).alias(value))
+    return present.unionByName(absent.withColumn(value, F.lit(0.0)))

@@ -191,9 +191,14 @@ def test_reshape_and_keys(spark):
         keys.split_key(bad)
     flat = spark.createDataFrame([("A", 1.0)], "FeatureID string, S1 double")
     assert keys.split_key(flat).columns == ["FeatureID", "S1"]
-    grid = reshape.full_grid(spark.range(30).selectExpr("cast(id as string) Sample"),
-                             spark.range(25).selectExpr("cast(id as string) FeatureID"), chunk=4)
-    assert grid.distinct().count() == 750 and grid.count() == 750
+    few = spark.createDataFrame([("1", "2", 5.0), ("1", "3", 1.0), ("4", "2", 2.0)], "Sample string, FeatureID string, Value double")
+    names = spark.range(25).selectExpr("cast(id as string) FeatureID")
+    samples = spark.range(30).selectExpr("cast(id as string) Sample", "id + 0.5 as fill")
+    absent = reshape.absent_cells(few, samples, names, chunk=4)
+    pairs = absent.select("Sample", "FeatureID")
+    assert pairs.distinct().count() == pairs.count() == 30 * 25 - 3
+    assert pairs.join(few, ["Sample", "FeatureID"]).isEmpty()
+    assert absent.filter("fill <> cast(Sample as int) + 0.5").isEmpty()
 
 
 def test_layouts(spark, sample_run):
