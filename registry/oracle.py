@@ -401,7 +401,7 @@ _T_TAIL = """t AS (SELECT *, n - 2 AS v, r / sqrt(1 - r * r) * sqrt(n - 2) AS t
         THEN exp(lgamma(2 * j + 1) - j * ln(4) - 2 * lgamma(j + 1) + j * ln(c2)) ELSE 0 END) AS even,
       sum(CASE WHEN v % 2 = 1 AND j <= (v - 3) / 2
         THEN exp(j * ln(4) + 2 * lgamma(j + 1) - lgamma(2 * j + 2) + j * ln(c2)) ELSE 0 END) AS odd
-      FROM angle, (SELECT unnest(range(0, 600))::DOUBLE AS j) GROUP BY ALL),
+      FROM angle, (SELECT unnest(range(0, 1200))::DOUBLE AS j) GROUP BY ALL),
     tests AS (SELECT "FeatureID" AS "Feature", n, r AS correlation, CASE WHEN v % 2 = 0
       THEN 1 - s * even ELSE 1 - 2 / pi() * (asin(s) + s * sqrt(c2) * odd) END AS p_value FROM series)"""
 _CORRELATION_OUT = """
@@ -411,6 +411,12 @@ SELECT "Feature", n, round(correlation, 6) + 0.0 AS correlation, round(p_value,
 twin("l8_pearson", "strat clr metadata", _CORRELATION_OUT, f"""
 corrs AS (SELECT "FeatureID", count(*) AS n, corr("Value", acctbal) AS r
   FROM clr JOIN metadata USING ("Sample") GROUP BY 1), {_T_TAIL}, {_BH}""")
+twin("l8_pearson_dense", "vectors", """
+SELECT "Feature", n, round(correlation, 6) + 0.0 AS correlation, round(p_value, 6) + 0.0 AS p_value
+FROM tests""", f"""
+corrs AS (SELECT a."FeatureID", count(*) AS n, corr(a."Value", b."Value") AS r
+  FROM vectors a JOIN vectors b ON a."Sample" = b."Sample" AND b."FeatureID" = 'e00'
+  WHERE a."FeatureID" <> 'e00' GROUP BY 1), {_T_TAIL}""")
 twin("l7_spearman", "strat clr metadata", _CORRELATION_OUT, f"""
 pairs AS (SELECT "FeatureID",
     rank() OVER (PARTITION BY "FeatureID" ORDER BY "Value")

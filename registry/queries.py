@@ -709,11 +709,19 @@ def l7_spearman(t: Roles) -> DataFrame:
 
 @query
 def l8_pearson(t: Roles) -> DataFrame:
-    logs = composition.dense(composition.clr(t.strat()))
-    table = hypothesis.pearson(logs, t.metadata(), "acctbal")
+    """From the stored cells of the sparse CLR."""
+    table = hypothesis.pearson(composition.clr(t.strat()), t.metadata(), "acctbal")
     return rounded(table, "correlation", "p_value", "q_value", "abs_correlation")
 
 
+@query
+def l8_pearson_dense(t: Roles) -> DataFrame:
+    """A dense table with negative values, against the first vector position."""
+    first = t.vectors().filter("FeatureID = 'e00'").select("Sample", F.col("Value").alias("e00"))
+    table = hypothesis.pearson(t.vectors(), first, "e00").filter("Feature <> 'e00'")
+    return rounded(table.select("Feature", "n", "correlation", "p_value"), "correlation", "p_value")
+
+
 @query
 def l9_flags(t: Roles) -> DataFrame:
     flagged = hypothesis.with_flags(_region_tests(t))

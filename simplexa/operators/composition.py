@@ -26,8 +26,13 @@ class SparseClr(NamedTuple):
     """Distinct FeatureID, including features that are zero everywhere."""
 
 
-def cell_totals(long: DataFrame) -> DataFrame:
-    """One row per (sample, feature), duplicates added up."""
+def cell_totals(long: DataFrame, unique: bool = False) -> DataFrame:
+    """One row per (sample, feature), duplicates added up.
+
+    ``unique`` promises that there are none, which saves the shuffle.
+    """
+    if unique:
+        return long.select(SAMPLE, FEATURE, F.col(VALUE).cast("double").alias(VALUE))
     return long.groupBy(SAMPLE, FEATURE).agg(F.sum(VALUE).cast("double").alias(VALUE))
 
 
@@ -83,14 +88,17 @@ def replace_zeros(long: DataFrame) -> DataFrame:
     return present.unionByName(absent)
 
 
-def clr(long: DataFrame, features: DataFrame | None = None) -> SparseClr:
+def clr(long: DataFrame, features: DataFrame | None = None, unique: bool = False) -> SparseClr:
     """CLR of a long count table.
 
     ``features`` fixes the column set; by default it is every feature of the
     table.  A single feature or an all-zero sample has CLR 0.  The added-up cells
-    are stored first, as the per-sample constants and the cells both need them.
+    are stored first, as the per-sample constants and the cells both need them;
+    ``unique`` is for a stored table with one row per cell and skips that.
     """
-    cells = stored(cell_totals(long), "cells")
+    cells = cell_totals(long, unique)
+    if not unique:
+        cells = stored(cells, "cells")
     names = (cells if features is None else features).select(FEATURE).distinct()
     constants = sample_constants(cells, names)
     present = (
@@ -134,26 +142,22 @@ def feature_variances(table: SparseClr) -> DataFrame:
     values are baseline + u.
     """
     base = table.baseline.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("baseline").alias("b_mean"),
-        F.sum(F.col("baseline") * F.col("baseline")).alias("b_square"),
-    )
-    one = F.broadcast(base)  # one row
-    offset = table.cells.join(table.baseline, SAMPLE).select(
-        FEATURE, "baseline", (F.col("clr") - F.col("baseline")).alias("u")
-    )
-    sums = offset.groupBy(FEATURE).agg(
-        F.sum("u").alias("u_sum"),
-        F.sum(F.col("u") * (F.col("u") + 2 * F.col("baseline"))).alias("u_square"),
+        F.struct(
+            F.count(F.lit(1)).cast("double").alias("n"),
+            F.avg("baseline").alias("mean"),
+            F.var_pop("baseline").alias("spread"),
+        )
+    ).scalar()
+    n, mean, spread = (base.getField(f) for f in ("n", "mean", "spread"))
+    # Centred on the mean baseline, so that large offsets do not cancel.
+    b, u = F.col("baseline") - mean, F.col("clr") - F.col("baseline")
+    sums = (
+        table.cells.join(table.baseline, SAMPLE)
+        .groupBy(FEATURE)
+        .agg(F.sum(u).alias("u_sum"), F.sum(u * (u + 2 * b)).alias("u_square"))
     )
     full = table.features.join(sums, FEATURE, "left").na.fill(0.0, ["u_sum", "u_square"])
-    full = full.withColumn("_one", F.lit(1)).join(one.withColumn("_one", F.lit(1)), "_one")
-    mean = F.col("b_mean") + F.col("u_sum") / F.col("n")
-    square = F.col("b_square") + F.col("u_square")
+    square = n * spread + F.col("u_square") - F.col("u_sum") * F.col("u_sum") / n
     return full.select(
-        FEATURE,
-        F.when(
-            F.col("n") > 1,
-            F.greatest((square - F.col("n") * mean * mean) / (F.col("n") - 1), F.lit(0.0)),
-        ).alias("variance"),
+        FEATURE, F.when(n > 1, F.greatest(square / (n - 1), F.lit(0.0))).alias("variance")
     )

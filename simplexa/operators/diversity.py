@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simplexa.names import FEATURE, SAMPLE, VALUE
@@ -17,21 +18,38 @@ from simplexa.sources.shared import stored
 ALPHA_METRICS = ("observed_features", "shannon", "pielou_e", "simpson")
 BETA_METRICS = ("braycurtis", "jaccard", "aitchison")
 
-SAMPLE_BLOCK = 256
-FEATURE_BLOCK = 2048
+LARGEST_BLOCK = 512
+SMALLEST_BLOCK = 64
+FEATURE_BLOCK = 1024
 
 
-def alpha_diversity(long: DataFrame, metrics: Sequence[str] = ALPHA_METRICS) -> DataFrame:
+def block_count(samples: DataFrame, block: int | None = None) -> Column:
+    """Into how many blocks to cut the samples, as a scalar of the plan.
+
+    Blocks are as large as memory allows, since every cell is copied once per
+    block, but few samples are cut finer to give each core a pair of blocks.
+    """
+    rows = samples.agg(F.count(F.lit(1))).scalar()
+    if block is not None:
+        return F.greatest(F.lit(1), F.ceil(rows / block).cast("int"))
+    cores = samples.sparkSession.sparkContext.defaultParallelism
+    for_cores = F.least(F.ceil(rows / SMALLEST_BLOCK), F.lit(math.ceil(math.sqrt(2 * cores))))
+    return F.greatest(F.lit(1), F.ceil(rows / LARGEST_BLOCK), for_cores).cast("int")
+
+
+def alpha_diversity(
+    long: DataFrame, metrics: Sequence[str] = ALPHA_METRICS, unique: bool = False
+) -> DataFrame:
     """Sample, Metric, Value from one aggregation pass over the cells.
 
     An empty sample has Shannon and evenness 0 and no Simpson index; evenness
-    of a single present feature is null.
+    of a single present feature is null.  ``unique`` promises one row per cell.
     """
     unknown = set(metrics) - set(ALPHA_METRICS)
     if unknown:
         raise ValueError(f"unknown alpha metrics: {sorted(unknown)}")
     x = F.col(VALUE)
-    sums = cell_totals(long).groupBy(SAMPLE).agg(
+    sums = cell_totals(long, unique).groupBy(SAMPLE).agg(
         F.sum(x).alias("s"),
         F.sum(x * x).alias("q"),
         F.sum(F.when(x > 0, x * F.log2(x))).alias("l"),
@@ -123,15 +141,17 @@ def _tile_distance(metric: str):
 def beta_diversity(
     table: DataFrame | SparseClr,
     metric: str,
-    sample_block: int = SAMPLE_BLOCK,
+    sample_block: int | None = None,
     feature_block: int = FEATURE_BLOCK,
+    unique: bool = False,
 ) -> DataFrame:
     """Distances of all sample pairs: sample_i < sample_j, distance.
 
     ``braycurtis`` and ``jaccard`` (presence) take a long count table,
     ``aitchison`` a sparse CLR.  Samples are hashed into blocks; each pair of
     blocks is one small matrix computation per block of features.  The output
-    has one row per pair of samples by definition.
+    has one row per pair of samples by definition.  ``unique`` is for a stored
+    table with one row per cell.
     """
     if metric not in BETA_METRICS:
         raise ValueError(f"metric must be one of {BETA_METRICS}")
@@ -142,17 +162,15 @@ def beta_diversity(
         heads = table.baseline.select(SAMPLE, F.col("baseline").alias("x"))
         features = table.features
     else:
-        totals = stored(cell_totals(table), "cells")
+        totals = cell_totals(table, unique)
+        if not unique:
+            totals = stored(totals, "cells")
         x = F.col(VALUE) if metric == "braycurtis" else F.lit(1.0)
         cells = totals.filter(F.col(VALUE) > 0).select(SAMPLE, FEATURE, x.alias("x"))
         measure = F.when(F.col(VALUE) > 0, x).otherwise(0.0)
         heads = totals.groupBy(SAMPLE).agg(F.sum(measure).alias("x"))
         features = totals.select(FEATURE).distinct()
 
-    def block_count(names: DataFrame, size: int):
-        rows = names.agg(F.count(F.lit(1))).scalar()
-        return F.greatest(F.lit(1), F.ceil(rows / size).cast("int"))
-
     blocks = block_count(heads, sample_block)
     feature_blocks = block_count(features, feature_block)
     # A head row per feature block names every sample of a block to the tile,

@@ -18,6 +18,7 @@ from simplexa.functions.tails import (
     t_two_sided,
 )
 from simplexa.names import FEATURE, SAMPLE, VALUE
+from simplexa.operators.composition import SparseClr
 from simplexa.operators.joins import join_metadata
 from simplexa.operators.ordered import (
     SLICE_ROWS,
@@ -248,10 +249,16 @@ def _attribute_pairs(long, metadata, attribute, sample, feature, value):
 
 
 def pearson(
-    long: DataFrame, metadata: DataFrame, attribute: str, sample: str = SAMPLE,
+    long: DataFrame | SparseClr, metadata: DataFrame, attribute: str, sample: str = SAMPLE,
     feature: str = FEATURE, value: str = VALUE,
 ) -> DataFrame:
-    """Correlation of every feature with a numeric attribute, largest first."""
+    """Correlation of every feature with a numeric attribute, largest first.
+
+    Takes a dense long table, or a sparse CLR whose absent cells then cost
+    nothing.
+    """
+    if isinstance(long, SparseClr):
+        return _correlation_result(_sparse_products(long, metadata, attribute, sample), FEATURE)
     pairs = _attribute_pairs(long, metadata, attribute, sample, feature, value)
     n = F.count(F.lit(1)).cast("double")
     sums = pairs.groupBy(feature).agg(
@@ -263,6 +270,49 @@ def pearson(
     return _correlation_result(sums, feature)
 
 
+def _sparse_products(table: SparseClr, metadata: DataFrame, attribute: str, sample: str) -> DataFrame:
+    """Centred sums of squares and products per feature, from the stored cells.
+
+    A feature's values are baseline + u with u = 0 where nothing is stored, so
+    the baseline's part is the same for all features and computed once.
+    """
+    y = metadata.select(F.col(sample).alias(SAMPLE), F.col(attribute).cast("double").alias("_y"))
+    known = stored(table.baseline.join(y, SAMPLE).filter(~is_missing("_y")), "attribute")
+    middle = known.agg(
+        F.struct(F.avg("_y").alias("y"), F.avg("baseline").alias("b"))
+    ).scalar()
+    centred = known.select(
+        SAMPLE, "baseline", (F.col("_y") - middle.getField("y")).alias("_y"),
+        (F.col("baseline") - middle.getField("b")).alias("_b"),
+    )
+    common = known.agg(F.struct(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.covar_pop("baseline", "_y").alias("by"),
+        F.var_pop("baseline").alias("bb"),
+        F.var_pop("_y").alias("yy"),
+    )).scalar()
+    n = common.getField("n")
+    u = F.col("clr") - F.col("baseline")
+    own = (
+        table.cells.join(centred, SAMPLE)
+        .groupBy(FEATURE)
+        .agg(
+            F.sum(u).alias("_u"),
+            F.sum(u * F.col("_y")).alias("_uy"),
+            F.sum(u * (u + 2 * F.col("_b"))).alias("_uu"),
+        )
+    )
+    every = table.features.join(own, FEATURE, "left").na.fill(0.0, ["_u", "_uy", "_uu"])
+    square = n * common.getField("bb") + F.col("_uu") - F.col("_u") * F.col("_u") / n
+    return every.select(
+        FEATURE,
+        n.alias("n"),
+        (n * common.getField("by") + F.col("_uy")).alias("sxy"),
+        F.greatest(square, F.lit(0.0)).alias("sxx"),
+        (n * common.getField("yy")).alias("syy"),
+    )
+
+
 def spearman(
     long: DataFrame, metadata: DataFrame, attribute: str, sample: str = SAMPLE,
     feature: str = FEATURE, value: str = VALUE, slice_rows: int = SLICE_ROWS,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simplexa.names import SAMPLE
+from simplexa.sources.shared import stored
 
 HOT_ROWS = 2_000_000
 
@@ -30,23 +31,24 @@ def spread_out(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def shared_ids(*tables: DataFrame, key: str) -> DataFrame:
-    """Distinct ids that occur in every table."""
-    first, *rest = tables
-    ids = first.select(key).distinct()
-    for table in rest:
-        ids = ids.join(table.select(key), key, "left_semi")
-    return ids
+    """Distinct ids that occur in every table.
+
+    Ids are made distinct before the joins, so a key's many rows are not
+    shuffled.
+    """
+    first, *rest = (table.select(key).distinct() for table in tables)
+    for ids in rest:
+        first = first.join(ids, key, "left_semi")
+    return first
 
 
 def reduce_to_shared(*tables: DataFrame, key: str) -> list[DataFrame]:
-    """Each table cut down to the ids that occur in all of them."""
-    kept = []
-    for i, table in enumerate(tables):
-        for j, other in enumerate(tables):
-            if i != j:
-                table = table.join(other.select(key), key, "left_semi")
-        kept.append(table)
-    return kept
+    """Each table cut down to the ids that occur in all of them.
+
+    The id list is stored, as every table is joined to it.
+    """
+    ids = stored(shared_ids(*tables, key=key), "ids")
+    return [table.join(ids, key, "left_semi") for table in tables]
 
 
 def ids_missing_from(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

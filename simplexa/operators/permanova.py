@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from simplexa.names import SAMPLE
 from simplexa.operators.checks import require_samples
+from simplexa.operators.diversity import block_count
 from simplexa.operators.joins import spread_out
 from simplexa.operators.ordered import positions
 from simplexa.sources.shared import stored
 
 # Fixed value: number of label permutations.
 PERMUTATIONS = 999
-BLOCK = 256
 # Equal label arrangements give F values that differ only by summation order.
 SAME = 1e-9
 
@@ -99,7 +99,7 @@ def _within_sums(width: int):
 def permutation_statistics(
     distances: DataFrame, labels: DataFrame, group: str, permutations: int = PERMUTATIONS,
     seed: int = 42, sample: str = SAMPLE, samples: DataFrame | None = None,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """(permutation, f) for the observed labels (0) and every permutation.
 
@@ -114,8 +114,7 @@ def permutation_statistics(
     if samples is None:
         samples = distance_samples(distances)
     within_table = stored(labels.join(samples.select(SAMPLE), SAMPLE, "left_semi"), "labels")
-    size = within_table.agg(F.count(F.lit(1)))
-    blocks = F.greatest(F.lit(1), F.ceil(size.scalar() / block).cast("int"))
+    blocks = block_count(within_table, block)
 
     def block_of(column):
         return F.pmod(F.xxhash64(column), blocks).cast("int")
@@ -147,14 +146,12 @@ def permutation_statistics(
         .groupBy("permutation")
         .agg(F.sum("within").alias("within"))
     )
-    counts = within_table.agg(
+    counts = within_table.agg(F.struct(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.count_distinct(group).cast("double").alias("k"),
-    )
-    # permutations + 2 rows meet one row.
-    line = sums.withColumn("_one", F.lit(1)).join(
-        F.broadcast(counts.withColumn("_one", F.lit(1))), "_one"
-    )
+    )).scalar()
+    # permutations + 2 rows.
+    line = sums.withColumns({"n": counts.getField("n"), "k": counts.getField("k")})
     total = F.max(F.when(F.col("permutation") == -1, F.col("within") / F.col("n")))
     gathered = line.groupBy("n", "k").agg(
         total.alias("total"),

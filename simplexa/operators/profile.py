@@ -15,6 +15,7 @@ from simplexa.names import SAMPLE, VALUE
 from simplexa.operators.filters import positive
 from simplexa.operators.joins import fanout_join
 from simplexa.operators.taxonomy import unclassified
+from simplexa.sources.shared import stored
 
 ITEM = "ASV_ID"
 FUNCTION = "KO"
@@ -137,12 +138,14 @@ def stratify(
     Mean copies are added up per trait before the join.  Both sides then have
     unique (taxon, sample) and (taxon, trait) rows, so each joined row is a
     finished cell and nothing is aggregated afterwards.  Null taxa match.
+    The abundances are stored, as the join first looks for hot taxa in them.
     """
     per_trait = (
         taxon_function.join(trait_map.select(function, trait), function)
         .groupBy(level, trait)
         .agg(F.sum(copy_num).alias(copy_num))
     )
+    abundance = stored(abundance, "taxon-abundance")
     joined = fanout_join(abundance, per_trait, level, SAMPLE, null_safe=True)
     return joined.select(level, trait, SAMPLE, (F.col(value) * F.col(copy_num)).alias(value))
 

@@ -12,6 +12,7 @@ from simplexa.names import FEATURE, SAMPLE, SEPARATOR, VALUE
 from simplexa.operators.hypothesis import SIGNIFICANT
 from simplexa.operators.joins import join_metadata
 from simplexa.operators.ordered import SLICE_ROWS, exact_quantiles
+from simplexa.sources.shared import stored
 
 # Sizes of the reported lists.
 PER_TAXON = 3
@@ -128,6 +129,7 @@ def diverse_top(
     without a taxon part are their own taxon, so the quota does not bind.  The
     quota filter runs before the shuffle as well, and both limits are top-n.
     """
+    scored = stored(scored.select(feature, score), "scores")  # one row per feature
     taxon = F.substring_index(feature, SEPARATOR, 1)
     order = [F.desc(score), F.asc(feature)]
     within = Window.partitionBy("_taxon").orderBy(*order)

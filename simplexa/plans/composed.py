@@ -35,14 +35,17 @@ def predicted_functions(
 
     Marker and copy tables are filtered on NSTI where they carry it, all three
     are cut down to shared items, then counts are divided by marker copies and
-    multiplied out by function.
+    multiplied out by function.  The normalised table, which is a result and an
+    input, is stored.
     """
     marker = within_nsti(marker, max_nsti)
     copies = within_nsti(copies, max_nsti)
     if prefix:
         copies = features_with_prefix(copies, prefix, FUNCTION)
     counts, marker, copies = reduce_to_shared(counts, marker, copies, key=ITEM)
-    normal = normalise_by_marker(counts, marker, on_zero_marker=on_zero_marker)
+    normal = stored(
+        normalise_by_marker(counts, marker, on_zero_marker=on_zero_marker), "normalised"
+    )
     return normal, function_profile(normal, copies)
 
 

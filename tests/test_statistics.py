@@ -160,3 +160,22 @@ def test_group_test_choice(spark, sample_run):
     assert H.group_tests(long, md.withColumn("one", F.lit("x")), "one") is None
     three = md.withColumn("g", F.substring("Sample", 2, 1).cast("int").cast("string"))
     assert "p_value" in H.group_tests(long, three, "g").columns
+
+
+def test_sparse_pearson_equals_dense(spark):
+    from simplexa.operators import composition
+
+    rng = np.random.default_rng(11)
+    counts = rng.poisson(1.0, size=(20, 6)).astype(float)
+    counts[:, 0] += 1
+    long = spark.createDataFrame(
+        [(f"S{i:02d}", f"f{j}", v) for i, row in enumerate(counts.tolist()) for j, v in enumerate(row)],
+        "Sample string, FeatureID string, Value double")
+    md = spark.createDataFrame(
+        [(f"S{i:02d}", None if i == 3 else float(rng.normal())) for i in range(20)], "Sample string, y double")
+    sparse = composition.clr(long)
+    one = H.pearson(sparse, md, "y")
+    two = H.pearson(composition.dense(sparse), md, "y")
+    assert mapping(one, "Feature", "n") == mapping(two, "Feature", "n")
+    assert mapping(one, "Feature", "correlation") == pytest.approx(mapping(two, "Feature", "correlation"))
+    assert mapping(one, "Feature", "p_value") == pytest.approx(mapping(two, "Feature", "p_value"))
