@@ -17,13 +17,13 @@ class Roles:
 
     def counts(self) -> DataFrame:
         """Parts as items, suppliers as samples, quantities as counts."""
-        return (
-            self.table("lineitem")
-            .groupBy(
-                F.col("l_partkey").cast("string").alias("ASV_ID"),
-                F.col("l_suppkey").cast("string").alias("Sample"),
-            )
-            .agg(F.sum("l_quantity").alias("Value"))
+        # Grouped by the native keys; only the result is turned into text.
+        totals = self.table("lineitem").groupBy("l_partkey", "l_suppkey").agg(
+            F.sum("l_quantity").alias("Value")
+        )
+        return totals.select(
+            F.col("l_partkey").alias("ASV_ID"), F.col("l_suppkey").cast("string").alias("Sample"),
+            "Value",
         )
 
     def strat(self) -> DataFrame:
@@ -40,7 +40,7 @@ class Roles:
 
     def marker(self) -> DataFrame:
         return self.table("part").select(
-            F.col("p_partkey").cast("string").alias("ASV_ID"),
+            F.col("p_partkey").alias("ASV_ID"),
             (F.col("p_size") % 5).cast("double").alias("marker_copies"),
             (F.col("p_retailprice") / 1000).alias("metadata_NSTI"),
             F.col("p_name").alias("closest_reference_genome"),
@@ -51,7 +51,7 @@ class Roles:
             "p_partkey", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("k")
         )
         return parts.select(
-            F.col("p_partkey").cast("string").alias("ASV_ID"),
+            F.col("p_partkey").alias("ASV_ID"),
             F.format_string("ko:K%05d", "k").alias("KO"),
             ((F.col("p_partkey") * F.col("k")) % 4).cast("double").alias("copy_num"),
         )
@@ -67,7 +67,7 @@ class Roles:
 
     def taxonomy(self) -> DataFrame:
         return self.table("part").select(
-            F.col("p_partkey").cast("string").alias("ASV_ID"),
+            F.col("p_partkey").alias("ASV_ID"),
             F.concat(
                 F.lit("k__"), "p_type", F.lit("; p__"), F.split("p_name", " ")[0],
                 F.lit("; c__"), F.split("p_name", " ")[1], F.lit("; o__; f__; g__"), "p_brand",
@@ -78,7 +78,7 @@ class Roles:
     def lineage(self) -> DataFrame:
         """Brand as the taxon, missing for one size in ten."""
         return self.table("part").select(
-            F.col("p_partkey").cast("string").alias("ASV_ID"),
+            F.col("p_partkey").alias("ASV_ID"),
             F.when(F.col("p_size") % 10 != 0, F.col("p_brand")).alias("Genus"),
         )
 
@@ -121,16 +121,16 @@ class Roles:
 
 # The same role tables as common table expressions.
 CTE = {
-    "counts": """counts AS (SELECT CAST(l_partkey AS VARCHAR) AS "ASV_ID",
+    "counts": """counts AS (SELECT l_partkey AS "ASV_ID",
         CAST(l_suppkey AS VARCHAR) AS "Sample", sum(l_quantity) AS "Value"
         FROM lineitem GROUP BY 1, 2)""",
     "strat": """strat AS (SELECT CAST(l_suppkey AS VARCHAR) AS "Sample",
         p_type || '|' || p_brand AS "FeatureID", sum(l_quantity) AS "Value"
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)""",
-    "marker": """marker AS (SELECT CAST(p_partkey AS VARCHAR) AS "ASV_ID",
+    "marker": """marker AS (SELECT p_partkey AS "ASV_ID",
         CAST(p_size % 5 AS DOUBLE) AS marker_copies, p_retailprice / 1000 AS "metadata_NSTI",
         p_name AS closest_reference_genome FROM part)""",
-    "copies": """copies AS (SELECT CAST(p_partkey AS VARCHAR) AS "ASV_ID",
+    "copies": """copies AS (SELECT p_partkey AS "ASV_ID",
         'ko:K' || lpad(CAST(k AS VARCHAR), 5, '0') AS "KO",
         CAST((p_partkey * k) % 4 AS DOUBLE) AS copy_num
         FROM part, (SELECT unnest(range(1, 13)) AS k))""",
@@ -141,11 +141,11 @@ CTE = {
     "trait_map": """trait_map AS (SELECT DISTINCT
         'ko:K' || lpad(CAST(p_partkey % 12 + 1 AS VARCHAR), 5, '0') AS "KO",
         'T' || ((p_partkey % 36) % 5) AS "Lv3" FROM part WHERE p_partkey % 7 <> 0)""",
-    "taxonomy": """taxonomy AS (SELECT CAST(p_partkey AS VARCHAR) AS "ASV_ID",
+    "taxonomy": """taxonomy AS (SELECT p_partkey AS "ASV_ID",
         'k__' || p_type || '; p__' || split_part(p_name, ' ', 1) || '; c__'
         || split_part(p_name, ' ', 2) || '; o__; f__; g__' || p_brand AS taxonomy,
         p_size / 50.0::DOUBLE AS confidence FROM part)""",
-    "lineage": """lineage AS (SELECT CAST(p_partkey AS VARCHAR) AS "ASV_ID",
+    "lineage": """lineage AS (SELECT p_partkey AS "ASV_ID",
         CASE WHEN p_size % 10 <> 0 THEN p_brand END AS "Genus" FROM part)""",
     "metadata": """metadata AS (SELECT CAST(s_suppkey AS VARCHAR) AS "Sample",
         r_name AS "Region", CASE WHEN s_acctbal >= 5000 THEN 'high' ELSE 'low' END AS "Balance",
