@@ -445,3 +445,51 @@ SELECT "Metric" AS part, "Sample" AS key, round("Value", 6) AS "Value" FROM alph
 SELECT 'q', "Feature", round(q_value, 6) FROM q UNION ALL
 SELECT 'permanova', 'F', round(f, 6) FROM stats WHERE p = 0""",
      f"{_ALPHA}, {_PERMANOVA}, {_ranked('clr', 'Region')}, {_KRUSKAL}, {_BH}")
+
+
+# --- ordination -------------------------------------------------------------
+
+
+def _components(table: str, squarings: int = 14) -> str:
+    """Two leading eigenvectors of the covariance matrix by repeated squaring.
+
+    A high power of the matrix has all its columns along the first eigenvector;
+    the second comes from the matrix with the first taken out.
+    """
+    steps = [
+        f"""middle AS MATERIALIZED (SELECT "Sample", "FeatureID" AS f,
+          "Value" - avg("Value") OVER (PARTITION BY "FeatureID") AS x FROM {table})""",
+        """cov1 AS MATERIALIZED (SELECT a.f AS i, b.f AS j, sum(a.x * b.x) AS c
+          FROM middle a JOIN middle b USING ("Sample") GROUP BY 1, 2)""",
+    ]
+    for k in (1, 2):
+        steps.append(f"""p{k}_0 AS MATERIALIZED (SELECT i, j, c / (SELECT sum(c) FROM cov{k} WHERE i = j) AS c
+          FROM cov{k})""")
+        for n in range(1, squarings + 1):
+            last = f"p{k}_{n - 1}"
+            steps.append(f"""p{k}_{n} AS MATERIALIZED (SELECT i, j, c / sum(c) FILTER (WHERE i = j) OVER () AS c
+              FROM (SELECT a.i AS i, b.j AS j, sum(a.c * b.c) AS c FROM {last} a JOIN {last} b ON a.j = b.i
+              GROUP BY 1, 2))""")
+        steps.append(f"""v{k} AS MATERIALIZED (SELECT f, v * sign(arg_max(v, abs(v)) OVER ()) AS v FROM
+          (SELECT i AS f, c / sqrt(sum(c * c) OVER ()) AS v FROM p{k}_{squarings} WHERE j =
+          (SELECT i FROM p{k}_{squarings} WHERE i = j ORDER BY c DESC, i LIMIT 1)))""")
+        if k == 1:
+            steps.append("""size1 AS (SELECT sum(a.v * c * b.v) AS s FROM cov1 JOIN v1 a ON a.f = i
+              JOIN v1 b ON b.f = j)""")
+            steps.append("""cov2 AS MATERIALIZED (SELECT i, j, c - (SELECT s FROM size1) * a.v * b.v AS c
+              FROM cov1 JOIN v1 a ON a.f = i JOIN v1 b ON b.f = j)""")
+    steps.append("""scores AS MATERIALIZED (SELECT "Sample", sum(x * v1.v) AS a, sum(x * v2.v) AS b
+      FROM middle JOIN v1 USING (f) JOIN v2 USING (f) GROUP BY 1)""")
+    return ", ".join(steps)
+
+
+twin("m1_pca_scores", "strat clr", """
+SELECT "Sample", round(a, 6) + 0.0 AS "PC1", round(b, 6) + 0.0 AS "PC2" FROM scores""", _components("clr"))
+twin("m1_pca_loadings", "vectors", """
+SELECT f AS "Feature", round(v1.v, 6) + 0.0 AS "PC1", round(v2.v, 6) + 0.0 AS "PC2"
+FROM v1 JOIN v2 USING (f)""", _components("vectors"))
+# With Euclidean distances the principal coordinates are the component scores,
+# except that here the largest coordinate is the positive one.
+twin("m2_pcoa", "strat clr", """
+SELECT "Sample", round(a * sign(arg_max(a, abs(a)) OVER ()), 6) + 0.0 AS "PC1",
+  round(b * sign(arg_max(b, abs(b)) OVER ()), 6) + 0.0 AS "PC2" FROM scores""", _components("clr"))
