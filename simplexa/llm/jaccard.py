@@ -28,6 +28,8 @@ TYPES = [pa.int32(), pa.int32(), *[pa.int64()] * 7, pa.binary()]
 DOCUMENT, SHARED, BUNDLE = 0, 1, 2
 #: Documents and segments that a task holds before it passes them on; members that a trie holds.
 FLUSH_DOCUMENTS, FLUSH_SEGMENTS, TRIE = 60_000, 1_500_000, 256
+#: Sets and n-grams of a block.
+BLOCK_SETS, BLOCK_GRAMS = 512, 1_000_000
 
 
 class Bands:
@@ -273,6 +275,109 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     return rows.mapInArrow(joined(num, den), "a long, b long")
 
 
+def differing(grams: list[np.ndarray], bits: int) -> np.ndarray:
+    """One row of bits for each set: whether an odd number of its hashes falls on each.  Two sets differ in at least
+    as many n-grams as their rows do in bits."""
+    out = np.zeros((len(grams), bits // 64), np.uint64)
+    for i, g in enumerate(grams):
+        odd = np.bincount((g % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        out[i] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    return out
+
+
+def block_links(nodes: list[int], sides: list[int], labels: list[int], grams: list[np.ndarray], num: int, den: int):
+    """Links between sets of different labels that join their components.  Sets come in sorted order; if both sides
+    are there, only sets of different sides are compared."""
+    sizes = np.array([len(g) for g in grams], np.int64)
+    marks = differing(grams, 64 * max(1, int(sizes.max()) // 16))
+    side, two, label, out = np.array(sides), len(set(sides)) == 2, np.array(labels, np.int64), []
+    for i in range(1, len(nodes)):
+        near = np.minimum(sizes[:i], sizes[i]) * den >= np.maximum(sizes[:i], sizes[i]) * num
+        near &= label[:i] != label[i]
+        if two:
+            near &= side[:i] != side[i]
+        at = np.flatnonzero(near)
+        if not len(at):
+            continue
+        apart = np.bitwise_count(marks[at] ^ marks[i]).sum(axis=1, dtype=np.int64)
+        at = at[apart * (den + num) <= (sizes[at] + sizes[i]) * (den - num)]
+        trie = Trie(grams[i], num, den)
+        for j in at.tolist():
+            if label[j] != label[i] and trie.links(grams[j]):
+                out.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def across(num: int, den: int):
+    """Task function over rows (task, node, side, label, grams) sorted by task and grams: links (a, b)."""
+
+    def run(batches):
+        now, held = None, []
+        for batch in batches:
+            found = []
+            columns = (batch.column(c).to_pylist() for c in ("task", "node", "side", "label", "grams"))
+            for task, node, side, label, body in zip(*columns):
+                if task != now:
+                    if len(held) > 1:
+                        found += block_links(*map(list, zip(*held)), num, den)
+                    now, held = task, []
+                held.append((node, side, label, np.frombuffer(body, ">u8").astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+        if len(held) > 1:
+            found = block_links(*map(list, zip(*held)), num, den)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def links_across(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that join components of `shared` (key, node, size, label), where labels are components so far.
+
+    Nodes that keys lead to from one another are a cluster.  A cluster that one task holds is one block; others have a
+    block for each label with many nodes and each band of sizes, salted to a bounded number of nodes and n-grams.
+    Pairs of blocks are compared unless their sizes are too far apart or they are of one large label.
+    """
+    hubs = shared.groupBy("key").agg(F.min("node").alias("hub"))
+    star = shared.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    clusters = kept(components(star.distinct()), "clusters").withColumnRenamed("component", "cluster")
+    members = kept(shared.select("node", "size", "label").distinct().join(clusters, "node"), "members")
+
+    def parts_of(count, total):
+        return F.greatest(F.ceil(count / F.lit(BLOCK_SETS)), F.ceil(total / F.lit(BLOCK_GRAMS))).cast("int")
+
+    wholes = members.groupBy("cluster").agg(parts_of(F.count("*"), F.sum("size")).alias("whole"))
+    large = members.groupBy("cluster", "label").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_SETS)
+    banded = members.join(wholes, "cluster").join(large, ["cluster", "label"], "left").select(
+        "cluster", "node", "size", "label", F.when(F.col("n").isNotNull(), F.col("label")).otherwise(0).alias("large"),
+        F.when(F.col("whole") > 1, F.floor(F.log(F.col("size").cast("double")) / F.lit(np.log(den / num).item())))
+        .otherwise(0).cast("int").alias("band"))
+    sides = banded.groupBy("cluster", "large", "band").agg(
+        parts_of(F.count("*"), F.sum("size")).alias("parts"), F.min("size").alias("low"), F.max("size").alias("high"))
+    placed = banded.join(sides.select("cluster", "large", "band", "parts"), ["cluster", "large", "band"]).select(
+        "cluster", "node", "label",
+        F.struct("large", "band", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt")).alias("block"))
+    blocks = sides.select("cluster", "low", "high", "large", "band", F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")).select(
+        "cluster", "low", "high", F.struct("large", "band", "salt").alias("block"))
+    one, other = (blocks.select("cluster", *(F.col(c).alias(f"{c}_{i}") for c in ("low", "high", "block")))
+                  for i in (1, 2))
+    meet = one.join(other, "cluster").where(
+        (F.col("block_1") <= F.col("block_2"))
+        & (F.greatest("low_1", "low_2") * num <= F.least("high_1", "high_2") * den)
+        & ((F.col("block_1.large") != F.col("block_2.large")) | (F.col("block_1.large") == 0)))
+    meet = kept(meet.select("cluster", "block_1", "block_2", F.monotonically_increasing_id().alias("task")), "blocks")
+    first = meet.select("cluster", F.col("block_1").alias("block"), "task", F.lit(0).alias("side"))
+    second = meet.where("block_1 <> block_2").select(
+        "cluster", F.col("block_2").alias("block"), "task", F.lit(1).alias("side"))
+    rows = first.union(second).join(placed, ["cluster", "block"]).select("task", "node", "side", "label")
+    dealt = rows.join(sets.select("node", "grams"), "node").repartition(
+        slots(shared.sparkSession), "task").sortWithinPartitions("task", "grams")
+    return dealt.mapInArrow(across(num, den), "a long, b long")
+
+
 def jaccard_components(documents: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of documents (doc_id, text), by exact links.
 
@@ -283,9 +388,9 @@ def jaccard_components(documents: DataFrame, k: int = 3, num: int = 90, den: int
     an empty table gives an empty one, further columns are not looked at.  Sets are told apart by 64-bit digests of
     their n-grams' 64-bit hashes.
 
-    First each set is compared with the smallest set of those that share most segments with it.  Then sets that share
-    a segment and are not in one component yet are compared, each with each: within a component a further link tells
-    nothing.
+    First each set is compared with one that it shares most segments with.  Then the sets that share a segment across
+    components are gathered to clusters, and blocks of a cluster are compared: within a component a further link tells
+    nothing, so blocks of one component do not meet, and no pair leaves its task but those that join components.
     """
     spark = documents.sparkSession
     n = slots(spark)
@@ -324,11 +429,7 @@ def jaccard_components(documents: DataFrame, k: int = 3, num: int = 90, den: int
         "key", "node", "size", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
     open_ = labelled.join(mixed.select("key"), "key")
-    left, right = (open_.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "label"))) for s in "ab")
-    across = left.join(right, "key").where("label_a < label_b").where(near(F.col("size_a"), F.col("size_b")))
-    more = kept(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(
-        pairs, ["a", "b"], "left_anti"), "more-pairs")
-    links = links.union(linked_pairs(more, sets, num, den))
+    links = links.union(links_across(open_, sets, num, den))
     found = components(links)
     roots = rows.where("node <> 0").groupBy("node").agg(F.min("doc_id").alias("root"))
     grouped = roots.join(found, "node", "left").select(

@@ -263,6 +263,22 @@ def test_jaccard_of_edited_copies(spark):
             out, *setting)
 
 
+def test_blocks_of_a_large_cluster(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
+    rng, out = np.random.default_rng(12), []
+    words = [f"c{i}" for i in range(90)]
+    for i in range(150):
+        copy = list(words[: int(rng.integers(70, 90))])
+        for _ in range(int(rng.integers(0, 4))):
+            copy[int(rng.integers(0, len(copy)))] = f"n{rng.integers(0, 10**6)}"
+        out.append((i, " ".join(copy)))
+    df = spark.createDataFrame(out, "doc_id long, text string").repartition(5)
+    for setting in ((3, 90, 100), (5, 80, 100)):
+        got = rows(jaccard.jaccard_components(df, *setting))
+        assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(
+            out, *setting)
+
+
 def item_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
 
