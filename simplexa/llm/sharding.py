@@ -54,7 +54,7 @@ def kd_shards(documents: DataFrame, dimensions: list[Column], weight: Column, le
     rows = documents.select(
         *stay, *(d.cast("double").alias(n) for d, n in zip(dimensions, names)), weight.cast("long").alias("weight"))
     rows = rows.withColumn("_tie", F.monotonically_increasing_id())
-    rows = kept(rows, "kd-rows").withColumn("node", F.lit(1).cast("long"))
+    rows = kept(rows.withColumn("node", F.lit(1).cast("long")), "kd-rows")
     whole = rows.agg(F.sum("weight"), *(F.min(n) for n in names), *(F.max(n) for n in names)).first()
     total, k = whole[0] or 0, len(names)
     spans = [((whole[1 + k + i] or 0.0) - (whole[1 + i] or 0.0)) or 1.0 for i in range(k)]
