@@ -122,7 +122,7 @@ twin("d3_features_by_samples", "strat metadata", 'SELECT "FeatureID", ' + ", ".j
 twin("d4_transpose", "", "SELECT measure, " + ", ".join(
     f"round(coalesce(sum(value) FILTER (WHERE event_type = '{e}' AND measure = '{e}'), 0), 6) AS \"{e}\""
     for e in ("click", "error", "purchase", "signup", "view")
-) + " FROM events, (SELECT unnest(['click', 'view']) AS measure) GROUP BY 1")
+) + " FROM events, (SELECT DISTINCT event_type AS measure FROM events) GROUP BY 1")
 twin("d6_zero_completion", "strat", """
 SELECT "Sample", "FeatureID", coalesce("Value", 0) AS "Value"
 FROM (SELECT DISTINCT "Sample" FROM strat) CROSS JOIN (SELECT DISTINCT "FeatureID" FROM strat)

@@ -149,11 +149,10 @@ def a9_layouts(t: Roles) -> DataFrame:
 
 
 def _region_wide(t: Roles) -> DataFrame:
-    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     named = joins.join_metadata(t.strat(), t.metadata(), ["Region"]).withColumn(
         "Region", F.concat(F.lit("S_"), "Region")
     )
-    wide = reshape.to_wide(named, "FeatureID", "Region", "Value", [f"S_{r}" for r in regions])
+    wide = reshape.to_wide(named, "FeatureID", "Region", "Value")
     return wide.withColumn("depth", F.lit(1.0))
 
 
@@ -306,9 +305,7 @@ def d3_features_by_samples(t: Roles) -> DataFrame:
 
 @query
 def d4_transpose(t: Roles) -> DataFrame:
-    table = t.table("events").groupBy("event_type").pivot(
-        "event_type", ["click", "view"]
-    ).agg(F.sum("value"))
+    table = t.table("events").groupBy("event_type").pivot("event_type").agg(F.sum("value"))
     flipped = reshape.transpose(table.na.fill(0.0), "event_type", "measure")
     return rounded(flipped, *[c for c in flipped.columns if c != "measure"])
 

@@ -123,15 +123,20 @@ def _rank_sum_counts(n1: int, n2: int) -> np.ndarray:
 
 
 def _mann_whitney_exact(u: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
-    """Two-sided exact p; the counting runs once per distinct (n1, n2)."""
+    """Two-sided exact p; the counting runs once per distinct (n1, n2).
+
+    By symmetry the lower tail is read, whose counts are small: the upper ones
+    come from differences of large numbers.
+    """
     frame = pd.DataFrame({"u": u, "n1": n1, "n2": n2}, dtype=float)
     out = np.full(len(frame), np.nan)
     for (a, b), rows in frame.dropna().groupby(["n1", "n2"]):
         ways = _rank_sum_counts(int(a), int(b))
-        upper = np.cumsum(ways[::-1])[::-1]
-        larger = np.maximum(rows["u"], a * b - rows["u"])
-        at = np.ceil(larger - 1e-9).astype(int)
-        out[rows.index] = [min(1.0, float(2 * upper[i] / upper[0])) for i in at]
+        total = math.comb(int(a + b), int(min(a, b)))
+        smaller = np.minimum(rows["u"], a * b - rows["u"])
+        at = np.floor(smaller + 1e-9).astype(int)
+        lower = np.cumsum(ways[: at.max() + 1])
+        out[rows.index] = [min(1.0, float(2 * lower[i] / total)) for i in at]
     return out
 
 

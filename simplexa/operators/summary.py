@@ -20,7 +20,6 @@ TOP_LOADINGS = 5
 TOP_IMPORTANCE = 20
 HEATMAP_FEATURES = 50
 FEW_CANDIDATES = 50
-MODEL_FEATURES = 2000
 
 
 def group_summary(
@@ -174,11 +173,13 @@ def report_candidates(tests: DataFrame, alpha: float = SIGNIFICANT, few: int = F
     return tests.filter(passes | (found < few)).orderBy(F.asc_nulls_last("q_value"), "Feature")
 
 
-def model_candidates(tests: DataFrame, alpha: float = SIGNIFICANT, n: int = MODEL_FEATURES) -> DataFrame:
-    """The n smallest q below alpha, or every feature if none is."""
+def model_candidates(tests: DataFrame, alpha: float = SIGNIFICANT, n: int | None = None) -> DataFrame:
+    """Features with q below alpha, the n smallest if n is given, or every feature if none is."""
     passes = ~is_missing("q_value") & (F.col("q_value") < alpha)
     found = tests.agg(F.count_if(passes)).scalar()
-    best = tests.filter(passes).orderBy("q_value", "Feature").limit(n)
+    best = tests.filter(passes)
+    if n is not None:
+        best = best.orderBy("q_value", "Feature").limit(n)
     return best.unionByName(tests.filter(found == 0))
 
 

@@ -29,7 +29,7 @@ from simplexa.sources.traits import trait_map
 
 def predicted_functions(
     counts: DataFrame, marker: DataFrame, copies: DataFrame, max_nsti: float = 1.7,
-    prefix: str | None = "ko:", on_zero_marker: str = "keep",
+    prefix: str | None = None, on_zero_marker: str = "keep",
 ) -> tuple[DataFrame, DataFrame]:
     """Normalised counts and the function profile, both long.
 

@@ -93,7 +93,7 @@ def read_exported_counts(
     names = top["value"].split("\t")
     strings = StructType([StructField(n, StringType()) for n in names])
     text = spark.read.schema(strings).csv(path, sep="\t", header=False)
-    first = _quoted(names[0])
+    first = F.coalesce(_quoted(names[0]), F.lit(""))
     rows = text.filter(~first.startswith(BANNER) & (first != names[0]))
     return _typed(rows, NULL_TOKENS, schema)
 

@@ -163,13 +163,38 @@ def test_ordination_fixture(spark):
     assert [abs(coords[s]) for s in rows_] == pytest.approx(list(expected[:, 0]), abs=1e-7)
 
 
+def test_coordinates_beside_many_negative_eigenvalues(spark):
+    # Two small positive eigenvalues, fourteen larger negative ones.
+    n = 150
+    q = np.linalg.qr(np.column_stack([np.ones(n), np.random.default_rng(3).normal(size=(n, n - 1))]))[0][:, 1:17]
+    values = np.array([0.4, 0.3, *np.linspace(-0.5, -0.6, 14)])
+    shift = np.eye(n) - 1.0 / n
+    g = q @ np.diag(values) @ q.T
+    squares = np.diag(g)[:, None] + np.diag(g)[None, :] - 2 * g
+    # A constant added to all squared distances adds half of it to every eigenvalue; none of them is then below zero.
+    far = max(0.0, -squares.min())
+    squares = squares + far * (1 - np.eye(n))
+    eigenvalues, vectors = np.linalg.eigh(-0.5 * shift @ squares @ shift)
+    assert (eigenvalues < -0.3).sum() == 14
+    edges = spark.createDataFrame(
+        [(f"S{i:02d}", f"S{j:02d}", float(np.sqrt(squares[i, j]))) for i in range(n) for j in range(i + 1, n)],
+        "sample_i string, sample_j string, distance double")
+    got = {r["Sample"]: r for r in ordination.pcoa(edges, 2).collect()}
+    for c, name in ((-1, "PC1"), (-2, "PC2")):
+        want = np.abs(vectors[:, c]) * np.sqrt(eigenvalues[c])
+        assert [abs(got[f"S{i:02d}"][name]) for i in range(n)] == pytest.approx(list(want), abs=1e-6)
+
+
 def test_many_features_use_distributed_products(spark, monkeypatch):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(15, 8))
     long = table(spark, {f"S{i:02d}": row for i, row in enumerate(x)})
-    direct = mapping(ordination.pca(long).scores, "Sample", "PC1")
+    first = ordination.pca(long)
+    direct = mapping(first.scores, "Sample", "PC1")
     monkeypatch.setattr(ordination, "COVARIANCE_FEATURES", 0)
-    other = mapping(ordination.pca(long).scores, "Sample", "PC1")
+    second = ordination.pca(long)
+    other = mapping(second.scores, "Sample", "PC1")
+    assert second.explained == pytest.approx(first.explained, abs=1e-8)
     assert other == pytest.approx(direct, abs=1e-6)
 
 

@@ -85,12 +85,12 @@ def test_marker_normalisation(marked):
 
 
 def test_function_profile_keeps_or_drops_zero_markers(marked):
-    normal, table = composed.predicted_functions(*marked, max_nsti=2.0)
+    normal, table = composed.predicted_functions(*marked, max_nsti=2.0, prefix="ko:")
     got = mapping(table, ["KO", "Sample"], "Value")
     assert math.isnan(got["ko:K00001", "SampleA"]) and got["ko:K00001", "SampleB"] == math.inf
     assert got["ko:K00002", "SampleA"] == 100
     assert {r[0] for r in normal.select("ASV_ID").distinct().collect()} == {"ASV1", "ASV2", "ASV3"}
-    _, table = composed.predicted_functions(*marked, max_nsti=2.0, on_zero_marker="drop")
+    _, table = composed.predicted_functions(*marked, max_nsti=2.0, prefix="ko:", on_zero_marker="drop")
     assert mapping(table, ["KO", "Sample"], "Value") == {
         ("ko:K00001", "SampleA"): 100, ("ko:K00001", "SampleB"): 20, ("ko:K00002", "SampleA"): 100}
 

@@ -153,6 +153,20 @@ def test_tail_functions():
     assert sum(tails._rank_sum_counts(8, 40)) == math.comb(48, 8)
 
 
+def test_exact_tail_of_large_groups():
+    a, b = 8, 2600
+    ways = [1] + [0] * (a * b)
+    for i in range(1, a + 1):
+        for u in range(a * b, b + i - 1, -1):
+            ways[u] -= ways[u - b - i]
+        for u in range(i, a * b + 1):
+            ways[u] += ways[u - i]
+    us = [a * b, 20592, 15000, 10400, 3, 0]
+    want = [min(1.0, 2 * sum(ways[: min(u, a * b - u) + 1]) / math.comb(a + b, a)) for u in us]
+    got = tails._mann_whitney_exact(np.array(us), np.full(len(us), a), np.full(len(us), b))
+    assert got == pytest.approx(want, rel=1e-9, abs=0)
+
+
 def test_group_test_choice(spark, sample_run):
     long, md = sample_run
     r = mapping(H.group_tests(long, md, "Treatment"), "Feature", "test_statistic")
