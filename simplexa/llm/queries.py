@@ -17,6 +17,7 @@ from simplexa.llm import (
     repeats,
     sharding,
     tokens,
+    urls,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,4 +95,13 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.predicted_languages(documents(spark, folder))
 
 
-ORACLE: dict[str, str] = {"op8_license_digests": licenses.scan_sql()}
+@query
+def op11_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules on all page URLs."""
+    return urls.judged(spark.read.parquet(f"{folder}/pages.parquet"), urls.rule_table(spark))
+
+
+ORACLE: dict[str, str] = {
+    "op8_license_digests": licenses.scan_sql(),
+    "op11_url_cascade": urls.judged_sql(),
+}

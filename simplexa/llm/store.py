@@ -12,7 +12,17 @@ def kept(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     spark, path = df.sparkSession, new_table_path(df.sparkSession, label)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.kept_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of kept tables that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.kept_at)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slots(spark) -> int:
