@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from simplexa.llm import (
+    collocations,
     decontamination,
+    divergence,
     fingerprints,
     jaccard,
     language,
@@ -101,7 +103,21 @@ def op11_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(spark.read.parquet(f"{folder}/pages.parquet"), urls.rule_table(spark))
 
 
+@query
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How the sources of a language differ in their terms."""
+    return divergence.source_divergence(documents(spark, folder))
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases of two and three words that stand together."""
+    return collocations.collocations(documents(spark, folder))
+
+
 ORACLE: dict[str, str] = {
     "op8_license_digests": licenses.scan_sql(),
     "op11_url_cascade": urls.judged_sql(),
+    "op12_source_divergence": divergence.divergence_sql(),
+    "op13_collocations": collocations.collocations_sql(),
 }
