@@ -1,36 +1,48 @@
 """Collocations: phrases whose parts stand together more often than apart, by dynamic itemset counting.
 
 The documents are dealt to shards once.  Steps scan one shard each, in turn and over again.  Words are counted from
-the first step on; a longer phrase is counted from the step after both of its parts without an end word have reached
-the threshold, and for as many steps as there are shards, so each phrase is counted once over everything.  Lengths
-are thus counted side by side, and the steps end when the last phrase has had its cycle.
+the first step on; a longer phrase becomes active once both of its parts without an end word have reached the
+threshold, and is counted for as many steps as there are shards, so once over everything.  Lengths are thus counted
+side by side, and the steps end when the last phrase has had its cycle.
 
-What a task counts is narrowed by Bloom filters of the phrases that have reached the threshold; they have a bounded
-size, and what they let pass wrongly ends at a join with the exact table.
+Which phrases have reached the threshold is kept in Bloom filters of one bounded size, to which steps only add bits.
+So a phrase that passes them in one step does so in all later ones; it is active from its first such step.  What a
+filter lets pass wrongly is counted in vain, but as exactly as all else.
+
+Words have 64-bit codes, verified to differ by the words themselves; a phrase is the codes of its words.  Counts are
+shuffled as arrays by slot, a hash of the phrase.
 """
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simplexa.llm.bits import WIRE, Filter, assembled
-from simplexa.llm.store import discard, kept
+from simplexa.llm.store import discard, kept, slots
 from simplexa.llm.words import mix
 
-#: Tokens and distinct words of a block in memory; bits of a filter (8 MB).
-BLOCK_TOKENS, BLOCK_WORDS, MOST_BITS = 2_000_000, 1_000_000, 1 << 26
+#: Tokens and distinct words of a block in memory; bytes of texts whose counts are one slot's.
+BLOCK_TOKENS, BLOCK_WORDS, SLOT_BYTES = 2_000_000, 1_000_000, 32 << 20
+#: Bits of a filter, at least and at most (16 MB), and its hash functions.
+LEAST_BITS, MOST_BITS, HASHES = 1 << 20, 1 << 27, 4
 SLICE = 1 << 20
-COUNTS = "lang string, words int, phrase string, f long"
+#: keys: codes, `words` a phrase; f: counts; first: the steps that first saw them, null in what a step has counted;
+#: texts: the words, for phrases of one.
+COUNTS = "slot int, lang string, words int, keys binary, f binary, first binary, texts binary"
+TYPES = [pa.int32(), pa.string(), pa.int32(), *[pa.binary()] * 4]
+NAMES = ["slot", "lang", "words", "keys", "f", "first", "texts"]
 BREAK, MARK = b".", b" . "
 GAP = re.compile(rb"[ .]")
+CLASH = "two words have one code"
 
 
 def word_table() -> bytes:
@@ -55,20 +67,22 @@ def slices(text: bytes, size: int = SLICE):
     yield text[start:] if start else text
 
 
-def word_hash(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = zlib.crc32(lang.encode())
-    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
-
-
-def longer(head: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from that of all but its last word, and the last word's."""
-    return mix(head * np.uint64(0x9E3779B97F4A7C15) + last)
+def joined(keys: np.ndarray) -> np.ndarray:
+    """A hash of phrases, rows of codes."""
+    h = mix(keys[:, 0])
+    for j in range(1, keys.shape[1]):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + keys[:, j])
+    return h
 
 
 def second(h: np.ndarray) -> np.ndarray:
     return mix(h ^ np.uint64(0xD6E8FEB86659FD93))
 
 
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], names=NAMES)
+
+
 class Block:
     """Word numbers from 1 of one language, 0 between pieces."""
 
@@ -88,70 +102,78 @@ class Block:
 
 
 class Known:
-    """The phrases of each length that have reached the threshold, and of these the ones reached so late that phrases
-    made of them have not had their cycle."""
+    """The filters of each length before a step, and those of a cycle before; None where nothing has come so far."""
 
-    def __init__(self, reached: list[Filter | None], recent: list[Filter | None], first_cycle: bool):
-        self.reached, self.recent, self.first_cycle = reached, recent, first_cycle
+    def __init__(self, now: list[Filter | None], then: list[Filter | None]):
+        self.now, self.then = now, then
 
     @staticmethod
-    def found(each: Filter | None, h: np.ndarray, among: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), bool)
-        if each is not None and len(at := np.flatnonzero(among)):
-            out[at] = each.has(h[at], second(h[at]))
-        return out
+    def passes(each: Filter | None, h: np.ndarray) -> np.ndarray:
+        return np.zeros(len(h), bool) if each is None else each.has(h, second(h))
 
 
-def counted(longest: int, known: Known, block_tokens: int = BLOCK_TOKENS, block_words: int = BLOCK_WORDS):
-    """Task function: (lang, text) to COUNTS of the phrases that a step may count, with the number of all words as
-    the phrase of no words."""
+def counted(longest: int, known: Known, first_cycle: bool, slots_: int, seed: int, block_tokens: int = BLOCK_TOKENS,
+            block_words: int = BLOCK_WORDS):
+    """Task function: (lang, text) to COUNTS of the phrases that are active, with the number of all words as the
+    phrase of no words."""
 
-    def phrases(lang: str, block: Block):
+    def phrases(block: Block):
+        """(words, codes, counts, texts) of the active phrases of each length."""
         ids = np.concatenate(block.ids).astype(np.int64)
         v, words = len(block.vocabulary), list(block.vocabulary)
-        if known.first_cycle:
+        code = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
+        if first_cycle:
             n = np.bincount(ids, minlength=v)
             n[0] = 0
-            yield 0, [b""], np.array([n.sum()])
+            yield 0, np.zeros((1, 0), np.uint64), np.array([n.sum()]), None
             at = np.flatnonzero(n)
-            yield 1, [words[i] for i in at.tolist()], n[at]
-        if known.reached[0] is None:
+            yield 1, code[at, None], n[at], [words[i] for i in at.tolist()]
+        if known.now[0] is None:
             return
-        each = word_hash(lang, words)
-        word = np.arange(v) > 0
-        reached = Known.found(known.reached[0], each, word)
-        recent = reached if known.first_cycle else Known.found(known.recent[0], each, reached)
-        # By place from here on: whether the phrase that starts there has reached the threshold, its number and hash.
-        reached, recent, number, h, names = reached[ids], recent[ids], ids, each[ids], words
+        h = joined(code[:, None])
+        inside = np.arange(v) > 0
+        # By place: whether the phrase that starts there passes now, passed a cycle ago, and its number.
+        now, then = ((inside & Known.passes(each[0], h))[ids] for each in (known.now, known.then))
+        number, keys = ids, code[:, None]
         for k in range(2, longest + 1):
-            ok, late = reached[:-1] & reached[1:], recent[:-1] | recent[1:]
-            last = ids[k - 1 :]
-            code, inverse, n = np.unique(
-                number[:-1][ok] * v + last[ok], return_inverse=True, return_counts=True)
-            names = [names[a] + b" " + words[b] for a, b in zip((code // v).tolist(), (code % v).tolist())]
-            told = np.zeros(len(code), bool)
-            told[inverse[late[ok]]] = True
-            at = np.flatnonzero(told)
-            # A phrase is told where it stands with its late part, which is everywhere or nowhere.
-            yield k, [names[i] for i in at.tolist()], n[at]
-            if k == longest or known.reached[k - 1] is None or not len(code):
+            ok, before = now[:-1] & now[1:], then[:-1] & then[1:]
+            at = np.flatnonzero(ok)
+            last = ids[k - 1 :][at]
+            both, here, n = np.unique(number[at] * v + last, return_inverse=True, return_counts=True)
+            if not len(both):
                 return
-            head = h
-            h = np.zeros(len(ok), np.uint64)
-            h[ok] = longer(head[:-1][ok], each[last[ok]])
+            keys = np.concatenate([keys[both // v], code[both % v, None]], axis=1)
+            fresh = np.ones(len(both), bool)
+            fresh[here[before[at]]] = False
+            yield k, keys[fresh], n[fresh], None
+            if k == longest or known.now[k - 1] is None:
+                return
+            h = joined(keys)
+            marks = [np.zeros(len(ok), bool) for _ in range(2)]
+            for mark, each in zip(marks, (known.now, known.then)):
+                mark[at] = Known.passes(each[k - 1], h)[here]
+            now, then = marks
             number = np.zeros(len(ok), np.int64)
-            number[ok] = inverse
-            reached = Known.found(known.reached[k - 1], h, ok)
-            recent = reached if known.first_cycle else Known.found(known.recent[k - 1], h, reached)
+            number[at] = here
 
     def told(lang: str, block: Block):
-        for k, names, n in phrases(lang, block):
-            for i in range(0, len(names), 50_000):
-                part = names[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()),
-                    pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[i : i + 50_000].astype(np.int64))],
-                    ["lang", "words", "phrase", "f"])
+        rows = []
+        for k, keys, n, texts in phrases(block):
+            if not k:
+                rows.append((0, lang, 0, b"", n.astype(np.int64).tobytes(), None, None))
+                continue
+            slot = (joined(keys) % np.uint64(slots_)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            ends = np.searchsorted(slot[order], np.arange(slots_ + 1))
+            for s in np.flatnonzero(np.diff(ends)).tolist():
+                own = order[ends[s] : ends[s + 1]]
+                rows.append((s, lang, k, keys[own].tobytes(), n[own].astype(np.int64).tobytes(), None,
+                             b"\n".join([texts[i] for i in own.tolist()]) if texts else None))
+                if len(rows) == 256:
+                    yield batch_of(rows)
+                    rows = []
+        if rows:
+            yield batch_of(rows)
 
     def run(batches):
         table, blocks, held = word_table(), {}, 0
@@ -169,49 +191,127 @@ def counted(longest: int, known: Known, block_tokens: int = BLOCK_TOKENS, block_
     return run
 
 
-def marks(shapes: list[Filter]):
-    """Task function: (lang, words, phrase, late) to rows of the filters of reached and, if late, of recent phrases."""
-    half = len(shapes) // 2
+def summed(keys: np.ndarray, f: np.ndarray, first: np.ndarray, texts: list[bytes] | None):
+    """Each phrase once, with the sum of its counts and the first step that saw it."""
+    h = joined(keys)
+    order = np.argsort(h, kind="stable")
+    step = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]).any(axis=1)])
+    if (step[1:] & (h[order][1:] == h[order][:-1])).any():  # other codes, same hash: order by all codes
+        order = np.lexsort(keys.T)
+        step = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]).any(axis=1)])
+    at = np.flatnonzero(step)
+    if texts is not None:
+        own = [texts[i] for i in order.tolist()]
+        if any(own[i] != own[i - 1] for i in np.flatnonzero(~step).tolist()):
+            raise ValueError(CLASH)
+        texts = [own[i] for i in at.tolist()]
+    return keys[order[at]], np.add.reduceat(f[order], at), np.minimum.reduceat(first[order], at), texts
+
+
+def folded(step: int, threshold: int, shards: int):
+    """Group function over the COUNTS of a slot, those before a step and those of it: the COUNTS after it, without
+    the phrases that had their cycle and stayed below the threshold."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts, out = defaultdict(list), []
+        for row in table.to_pylist():
+            parts[row["lang"], row["words"]].append(row)
+        slot = table.column("slot")[0].as_py()
+        for lang, k in sorted(parts):
+            rows = parts[lang, k]
+            f = np.concatenate([np.frombuffer(r["f"], np.int64) for r in rows])
+            if not k:
+                out.append((slot, lang, 0, b"", np.array([f.sum()]).tobytes(), np.ones(1, np.int32).tobytes(), None))
+                continue
+            keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows]).reshape(-1, k)
+            first = np.concatenate([
+                np.full(len(r["f"]) // 8, step, np.int32) if r["first"] is None else np.frombuffer(r["first"], np.int32)
+                for r in rows])
+            texts = sum((r["texts"].split(b"\n") for r in rows), []) if k == 1 else None
+            keys, f, first, texts = summed(keys, f, first, texts)
+            stay = np.flatnonzero((f >= threshold) | (first + shards - 1 > step))
+            if len(stay):
+                out.append((slot, lang, k, keys[stay].tobytes(), f[stay].tobytes(), first[stay].tobytes(),
+                            b"\n".join([texts[i] for i in stay.tolist()]) if k == 1 else None))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), TYPES)], names=NAMES) if out else (
+            table.schema.empty_table())
+
+    return run
+
+
+def marks(longest: int, threshold: int, size: int):
+    """Task function: COUNTS to the filters' rows of the phrases that have reached the threshold."""
 
     def run(batches):
-        own = [Filter(s.size, s.hashes, s.level) for s in shapes]
+        own = [Filter(size, HASHES, k) for k in range(1, longest)]
         for batch in batches:
-            langs, words = batch.column("lang").to_pylist(), batch.column("words").to_numpy()
-            phrases, late = batch.column("phrase").cast(pa.binary()).to_pylist(), batch.column("late").to_numpy(
-                zero_copy_only=False)
-            for k in np.unique(words).tolist():
-                at = np.flatnonzero(words == k)
-                h = np.zeros(len(at), np.uint64)
-                by_lang = defaultdict(list)
-                for place, i in enumerate(at.tolist()):
-                    by_lang[langs[i]].append((place, phrases[i].split(b" ")))
-                for lang, rows in by_lang.items():
-                    places, parts = zip(*rows)
-                    mine = word_hash(lang, [p[0] for p in parts])
-                    for j in range(1, k):
-                        mine = longer(mine, word_hash(lang, [p[j] for p in parts]))
-                    h[list(places)] = mine
-                own[k - 1].add(h, second(h))
-                own[half + k - 1].add(h[late[at]], second(h[late[at]]))
+            for row in batch.select(["words", "keys", "f"]).to_pylist():
+                if 0 < row["words"] < longest:
+                    f = np.frombuffer(row["f"], np.int64)
+                    keys = np.frombuffer(row["keys"], np.uint64).reshape(-1, row["words"])
+                    h = joined(keys[f >= threshold])
+                    own[row["words"] - 1].add(h, second(h))
         for which, each in enumerate(own):
             yield each.batch(which)
 
     return run
 
 
-def known_phrases(state: DataFrame, longest: int, step: int, shards: int, sizes: dict[int, int]) -> Known:
-    """What a step looks for; `sizes` are the numbers of reached phrases by length."""
-    shapes = [Filter(*Filter.shape(max(1, sizes.get(k, 0)), 0.01, MOST_BITS), level=k) for k in range(1, longest)]
-    rows = state.where(f"reach IS NOT NULL AND words BETWEEN 1 AND {longest - 1}").select(
-        "lang", "words", "phrase", (F.col("reach") >= step - shards).alias("late"))
-    both = assembled(rows.mapInArrow(marks(shapes * 2), WIRE), [Filter(s.size, s.hashes, s.level) for s in shapes * 2])
-    some = [each if sizes.get(k + 1) else None for k, each in enumerate(both[: longest - 1])]
-    return Known(some, both[longest - 1 :], step <= shards)
+def unpacked(threshold: int):
+    """Task function: COUNTS to rows (lang, words, key, f, word) of the phrases that reached the threshold."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                k, f = row["words"], np.frombuffer(row["f"], np.int64)
+                at = np.flatnonzero((f >= threshold) | (k == 0))
+                keys = np.frombuffer(row["keys"], np.int64)
+                keys = keys.reshape(-1, k) if k else np.zeros((len(f), 0), np.int64)
+                texts = row["texts"].split(b"\n") if k == 1 else None
+                n = len(at)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["lang"]] * n, pa.string()), pa.array([k] * n, pa.int32()),
+                    pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * k, pa.array(keys[at].ravel())),
+                    pa.array(f[at]), pa.array([texts[i] for i in at.tolist()] if texts else [None] * n, pa.binary()).cast(
+                        pa.string())], names=["lang", "words", "key", "f", "word"])
+
+    return run
+
+
+PHRASES = "lang string, words int, key array<bigint>, f long, word string"
+
+
+def _frequent(dealt: DataFrame, longest: int, threshold: int, shards: int, n: int, size: int, seed: int) -> DataFrame:
+    """The steps of one choice of codes: PHRASES, stored."""
+    nothing = [Filter(size, HASHES, k) for k in range(1, longest)]
+    filters = [nothing]  # before each step
+    state, step, last = None, 0, shards
+    while step < last:
+        step += 1
+        known = Known(*([each if each.bits.any() else None for each in filters[max(0, i)]] for i in (
+            step - 1, step - 1 - shards)))
+        seen = dealt.where(F.col("shard") == (step - 1) % shards).select("lang", "text").mapInArrow(
+            counted(longest, known, step <= shards, n, seed), COUNTS)
+        now = kept((seen if state is None else seen.unionByName(state)).groupBy("slot").applyInArrow(
+            folded(step, threshold, shards), COUNTS), "phrases")
+        if state is not None:
+            discard(state)
+        state = now
+        found = assembled(state.where(f"words BETWEEN 1 AND {longest - 1}").mapInArrow(
+            marks(longest, threshold, size), WIRE), [Filter(size, HASHES, k) for k in range(1, longest)])
+        if any((a.bits != b.bits).any() for a, b in zip(found, filters[-1])):
+            last = max(last, step + shards)
+        filters.append(found)
+        filters[: max(0, step - shards)] = [None] * max(0, step - shards)  # no longer asked for
+    out = kept(state.mapInArrow(unpacked(threshold), PHRASES), "frequent")
+    discard(state)
+    return out
 
 
 def frequent_phrases(documents: DataFrame, longest: int = 3, threshold: int = 10, shards: int = 4) -> DataFrame:
-    """COUNTS of all phrases of 1 to `longest` words (2 or more) that are there `threshold` times or more, and of no
-    words: the number of all words of the language.
+    """PHRASES: all phrases of 1 to `longest` words (2 or more) that are there `threshold` times or more, as the codes
+    of their words, with the word of those of one; and as the phrase of no words the number of all words of the
+    language.
 
     documents (lang, text): a null lang is 'und', a null text empty; see `collocations` for words and pieces.  The
     result is stored.
@@ -220,41 +320,18 @@ def frequent_phrases(documents: DataFrame, longest: int = 3, threshold: int = 10
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"),
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
     dealt = kept(rows, "shards", "shard")
-    state, step, last, known = None, 0, shards, Known([None] * longest, [None] * longest, True)
-    while step < last:
-        step += 1
-        seen = dealt.where(F.col("shard") == (step - 1) % shards).select("lang", "text").mapInArrow(
-            counted(longest, known), COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-        new = seen.where("words <= 1").select("*", F.lit(1).alias("start"), F.lit(None).cast("int").alias("reach"))
-        if state is not None:
-            reached = state.where(f"reach IS NOT NULL AND words BETWEEN 1 AND {longest - 1}")
-            head, tail = (reached.select("lang", F.col("phrase").alias(p), F.col("reach").alias(f"{p}_reach"))
-                          for p in ("head", "tail"))
-            parts = seen.where("words > 1").select(
-                "*", F.call_function("substring_index", "phrase", F.lit(" "), F.col("words") - 1).alias("head"),
-                F.call_function("substring_index", "phrase", F.lit(" "), 1 - F.col("words")).alias("tail"))
-            start = F.greatest("head_reach", "tail_reach") + 1
-            more = parts.join(head, ["lang", "head"]).join(tail, ["lang", "tail"]).select(
-                "lang", "words", "phrase", "f", start.alias("start"), F.lit(None).cast("int").alias("reach"))
-            new = state.unionByName(new).unionByName(more.where(
-                (F.col("start") <= step) & (F.col("start") > step - shards)))
-        total = new.groupBy("lang", "words", "phrase").agg(
-            F.sum("f").alias("f"), F.min("start").alias("start"), F.min("reach").alias("reach"))
-        enough = F.col("f") >= threshold
-        # A phrase that had its cycle and stayed below the threshold is done with.
-        total = total.withColumn("reach", F.when(F.col("reach").isNull() & enough, step).otherwise(F.col("reach"))).where(
-            enough | (F.col("words") == 0) | (F.col("start") + shards - 1 > step))
-        now = kept(total, "phrases")
-        if state is not None:
-            discard(state)
-        state = now
-        by_words = state.where(f"reach IS NOT NULL AND words BETWEEN 1 AND {longest - 1}").groupBy("words").agg(
-            F.count("*").alias("n"), F.max("reach").alias("reach")).collect()  # a row a length
-        last = max([shards, *(r["reach"] + shards for r in by_words)])
-        if step < last:
-            known = known_phrases(state, longest, step + 1, shards, {r["words"]: r["n"] for r in by_words})
+    total = dealt.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(slots(documents.sparkSession), math.ceil(total / SLOT_BYTES))
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << math.ceil(math.log2(total / 16 + 1))))
+    for seed in range(8):
+        try:
+            found = _frequent(dealt, longest, threshold, shards, n, size, seed)
+            break
+        except PySparkException as error:
+            if CLASH not in str(error) or seed == 7:
+                raise
     discard(dealt)
-    return state.select("lang", "words", "phrase", "f")
+    return found
 
 
 def collocations(documents: DataFrame, longest: int = 3, threshold: int = 10, top: int = 2000, inside: int = 50,
@@ -268,29 +345,34 @@ def collocations(documents: DataFrame, longest: int = 3, threshold: int = 10, to
     more.  Order: score, a, phrase by its bytes.  Repeated rows count each, ids and further columns are not looked at,
     an empty table gives an empty one.
     """
-    found = kept(frequent_phrases(documents, longest, threshold, shards), "frequent")
+    found = frequent_phrases(documents, longest, threshold, shards)
     number = found.where("words = 0").select("lang", F.col("f").alias("n"))
-    phrases = found.where("words > 1").select("lang", "words", "phrase", F.col("f").alias("a"))
+    phrases = found.where("words > 1").select("lang", "words", "key", F.col("f").alias("a"))
     left, right = (found.where(f"words BETWEEN 1 AND {longest - 1}").select(
-        "lang", F.col("phrase").alias(side), F.col("f").alias(f)) for side, f in (("left", "l"), ("right", "r")))
-    word = F.lit(" ")
+        "lang", F.col("key").alias(side), F.col("f").alias(f)) for side, f in (("left", "l"), ("right", "r")))
     cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(
-        "*", F.call_function("substring_index", "phrase", word, F.col("k")).alias("left"),
-        F.call_function("substring_index", "phrase", word, F.col("k") - F.col("words")).alias("right"))
+        "*", F.slice("key", F.lit(1), F.col("k")).alias("left"),
+        F.slice("key", F.col("k") + 1, F.col("words") - F.col("k")).alias("right"))
     wide = {c: F.col(c).cast("decimal(14,0)") for c in ("a", "l", "r")}
     score = F.call_function("div", wide["a"] * wide["a"] * F.lit(1_000_000).cast("decimal(7,0)"), wide["l"] * wide["r"])
     scored = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumn("score", score)
-    best = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    best = scored.groupBy("lang", "key", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     inner = phrases.where("words > 2").select(
-        "lang", "a", F.split("phrase", " ").alias("w"), "words",
-        F.explode(F.sequence(F.lit(2), F.col("words") - 1)).alias("size")).select(
-        "lang", "a", "w", "size", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)).alias("at")).select(
-        "lang", F.array_join(F.slice("w", F.col("at"), F.col("size")), " ").alias("phrase"), "a").groupBy(
-        "lang", "phrase").agg(F.max("a").alias("outer"))
-    free = best.join(inner, ["lang", "phrase"], "left").where(
+        "lang", "a", "key", "words", F.explode(F.sequence(F.lit(2), F.col("words") - 1)).alias("size")).select(
+        "lang", "a", "key", "size", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)).alias("at")).select(
+        "lang", F.slice("key", F.col("at"), F.col("size")).alias("key"), "a").groupBy(
+        "lang", "key").agg(F.max("a").alias("outer"))
+    free = best.join(inner, ["lang", "key"], "left").where(
         F.col("outer").isNull() | (F.col("outer").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * inside))
+    by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    # All that may be among the best by score and count; only they are spelt.
+    near = free.select("lang", "key", "a", "cut.l", "cut.r", "cut.score").withColumn("_place", F.rank().over(by)).where(
+        F.col("_place") <= top)
+    words = found.where("words = 1").select("lang", F.get("key", F.lit(0)).alias("code"), "word")
+    spelt = near.select("*", F.posexplode("key").alias("_at", "code")).join(words, ["lang", "code"]).groupBy(
+        "lang", "key", "a", "l", "r", "score").agg(F.sort_array(F.collect_list(F.struct("_at", "word"))).alias("_words"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = free.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn(
+    ranked = spelt.select("lang", F.array_join("_words.word", " ").alias("phrase"), "a", "l", "r", "score").withColumn(
         "rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.join(number, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
