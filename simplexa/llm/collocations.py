@@ -30,8 +30,8 @@ from simplexa.llm.bits import WIRE, Filter, assembled
 from simplexa.llm.store import discard, kept, slots
 from simplexa.llm.words import mix
 
-#: Tokens and distinct words of a block in memory; bytes of texts whose counts are one slot's.
-BLOCK_TOKENS, BLOCK_WORDS, SLOT_BYTES = 2_000_000, 1_000_000, 32 << 20
+#: Bytes of a block of texts in memory, and of texts whose counts are one slot's.
+BLOCK_BYTES, SLOT_BYTES = 6 << 20, 8 << 20
 #: Bits of a filter, at least and at most (16 MB), and its hash functions.
 LEAST_BITS, MOST_BITS, HASHES = 1 << 20, 1 << 27, 4
 SLICE = 1 << 20
@@ -40,7 +40,7 @@ SLICE = 1 << 20
 COUNTS = "slot int, lang string, words int, keys binary, f binary, first binary, texts binary"
 TYPES = [pa.int32(), pa.string(), pa.int32(), *[pa.binary()] * 4]
 NAMES = ["slot", "lang", "words", "keys", "f", "first", "texts"]
-BREAK, MARK = b".", b" . "
+SPACE, BREAK = ord(" "), ord(".")
 GAP = re.compile(rb"[ .]")
 CLASH = "two words have one code"
 
@@ -49,9 +49,9 @@ def word_table() -> bytes:
     """A-Z lower-cased, tabs made spaces, and every separator of pieces a full stop."""
     table = bytearray(range(256))
     table[0x41:0x5B] = table[0x61:0x7B]
-    table[0x09] = 0x20
+    table[0x09] = SPACE
     for c in b".,;:!?\x0a\x0b\x0c\x0d":
-        table[c] = BREAK[0]
+        table[c] = BREAK
     return bytes(table)
 
 
@@ -84,21 +84,36 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class Block:
-    """Word numbers from 1 of one language, 0 between pieces."""
-
-    def __init__(self):
-        self.vocabulary = defaultdict()
-        self.vocabulary.default_factory = lambda: len(self.vocabulary)
-        self.vocabulary[BREAK] = 0
-        self.ids: list[np.ndarray] = []
-
-    def add(self, text: bytes, table: bytes) -> int:
-        number, n = self.vocabulary.__getitem__, 0
-        for part in slices(text.translate(table)):
-            self.ids.append(np.fromiter(map(number, part.replace(BREAK, MARK).split()), np.int32))
-            n += len(self.ids[-1])
-        self.ids.append(np.zeros(1, np.int32))
-        return n
+    """Translated texts of one language.  It may go on with a document that the block before has begun, and then holds
+    the words before the cut once more, which are not counted again."""
+
+    def __init__(self, carried: list[bytes]):
+        self.carried, self.parts = len(carried), [b" ".join(carried)]
+
+    def words(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Number and piece of each word, and the words by number."""
+        text = b"".join(self.parts)
+        data = np.frombuffer(text, np.uint8)
+        breaks = data == BREAK
+        inside = ~breaks & (data != SPACE)
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        offsets = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(ends - starts, out=offsets[1:])
+        listed = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
+        return (listed.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+                np.cumsum(breaks, dtype=np.int32)[starts] if len(starts) else starts, listed.dictionary.to_pylist())
+
+
+def grouped(x: np.ndarray):
+    """Order of the numbers, where each different one begins in it, and the place of every number among these."""
+    order = np.argsort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[order[1:]] != x[order[:-1]]
+    inverse = np.empty(len(x), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), inverse
 
 
 class Known:
@@ -112,47 +127,46 @@ class Known:
         return np.zeros(len(h), bool) if each is None else each.has(h, second(h))
 
 
-def counted(longest: int, known: Known, first_cycle: bool, slots_: int, seed: int, block_tokens: int = BLOCK_TOKENS,
-            block_words: int = BLOCK_WORDS):
+def counted(longest: int, known: Known, first_cycle: bool, slots_: int, seed: int, block_bytes: int = BLOCK_BYTES):
     """Task function: (lang, text) to COUNTS of the phrases that are active, with the number of all words as the
     phrase of no words."""
 
     def phrases(block: Block):
         """(words, codes, counts, texts) of the active phrases of each length."""
-        ids = np.concatenate(block.ids).astype(np.int64)
-        v, words = len(block.vocabulary), list(block.vocabulary)
-        code = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
+        ids, piece, words = block.words()
+        if first_cycle:
+            yield 0, np.zeros((1, 0), np.uint64), np.array([len(ids) - block.carried]), None
+        if not len(ids):
+            return
+        v, code = len(words), np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
         if first_cycle:
-            n = np.bincount(ids, minlength=v)
-            n[0] = 0
-            yield 0, np.zeros((1, 0), np.uint64), np.array([n.sum()]), None
+            n = np.bincount(ids[block.carried :], minlength=v)
             at = np.flatnonzero(n)
             yield 1, code[at, None], n[at], [words[i] for i in at.tolist()]
         if known.now[0] is None:
             return
-        h = joined(code[:, None])
-        inside = np.arange(v) > 0
+        h, same = joined(code[:, None]), piece[1:] == piece[:-1]
         # By place: whether the phrase that starts there passes now, passed a cycle ago, and its number.
-        now, then = ((inside & Known.passes(each[0], h))[ids] for each in (known.now, known.then))
+        now, then = (Known.passes(each[0], h)[ids] for each in (known.now, known.then))
         number, keys = ids, code[:, None]
         for k in range(2, longest + 1):
-            ok, before = now[:-1] & now[1:], then[:-1] & then[1:]
+            ok, before = now[:-1] & now[1:] & same[: len(now) - 1], then[:-1] & then[1:]
             at = np.flatnonzero(ok)
-            last = ids[k - 1 :][at]
-            both, here, n = np.unique(number[at] * v + last, return_inverse=True, return_counts=True)
-            if not len(both):
+            if not len(at):
                 return
+            both = number[at] * v + ids[k - 1 :][at]
+            order, starts, here = grouped(both)
+            n, both = np.bincount(here[at > block.carried - k], minlength=len(starts)), both[order[starts]]
             keys = np.concatenate([keys[both // v], code[both % v, None]], axis=1)
-            fresh = np.ones(len(both), bool)
+            fresh = n > 0
             fresh[here[before[at]]] = False
             yield k, keys[fresh], n[fresh], None
             if k == longest or known.now[k - 1] is None:
                 return
             h = joined(keys)
-            marks = [np.zeros(len(ok), bool) for _ in range(2)]
-            for mark, each in zip(marks, (known.now, known.then)):
+            now, then = (np.zeros(len(ok), bool) for _ in range(2))
+            for mark, each in ((now, known.now), (then, known.then)):
                 mark[at] = Known.passes(each[k - 1], h)[here]
-            now, then = marks
             number = np.zeros(len(ok), np.int64)
             number[at] = here
 
@@ -180,11 +194,20 @@ def counted(longest: int, known: Known, first_cycle: bool, slots_: int, seed: in
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for lang, text in zip(langs, batch.column("text").cast(pa.binary())):
-                held += blocks.setdefault(lang, Block()).add(text.as_py(), table)
-                if held >= block_tokens or sum(len(b.vocabulary) for b in blocks.values()) >= block_words:
-                    for name in sorted(blocks):
-                        yield from told(name, blocks[name])
-                    blocks, held = {}, 0
+                carried: list[bytes] = []
+                parts = list(slices(text.as_py().translate(table), min(SLICE, block_bytes)))
+                for number, part in enumerate(parts, 1):
+                    blocks.setdefault(lang, Block(carried)).parts.append(part)
+                    held += len(part)
+                    if number < len(parts):
+                        piece = part[part.rfind(b".") + 1 :].split()
+                        carried = (piece if BREAK in part else carried + piece)[1 - longest :]
+                    if held >= block_bytes:
+                        for name in sorted(blocks):
+                            yield from told(name, blocks[name])
+                        blocks, held = {}, 0
+                if lang in blocks:
+                    blocks[lang].parts.append(b".")
         for name in sorted(blocks):
             yield from told(name, blocks[name])
 
@@ -214,20 +237,29 @@ def folded(step: int, threshold: int, shards: int):
 
     def run(table: pa.Table) -> pa.Table:
         parts, out = defaultdict(list), []
-        for row in table.to_pylist():
-            parts[row["lang"], row["words"]].append(row)
+        for i, key in enumerate(zip(table.column("lang").to_pylist(), table.column("words").to_pylist())):
+            parts[key].append(i)
         slot = table.column("slot")[0].as_py()
+
+        def arrays(column: str, kind, rows: list[int]):
+            """Without a copy of the table's bytes; None where there is nothing."""
+            found = (table.column(column)[i] for i in rows)
+            return [np.frombuffer(x.as_buffer(), kind) if x.is_valid else None for x in found]
+
         for lang, k in sorted(parts):
             rows = parts[lang, k]
-            f = np.concatenate([np.frombuffer(r["f"], np.int64) for r in rows])
+            each = arrays("f", np.int64, rows)
+            f = np.concatenate(each)
             if not k:
                 out.append((slot, lang, 0, b"", np.array([f.sum()]).tobytes(), np.ones(1, np.int32).tobytes(), None))
                 continue
-            keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows]).reshape(-1, k)
+            keys = np.concatenate(arrays("keys", np.uint64, rows)).reshape(-1, k)
             first = np.concatenate([
-                np.full(len(r["f"]) // 8, step, np.int32) if r["first"] is None else np.frombuffer(r["first"], np.int32)
-                for r in rows])
-            texts = sum((r["texts"].split(b"\n") for r in rows), []) if k == 1 else None
+                np.full(len(n), step, np.int32) if x is None else x
+                for x, n in zip(arrays("first", np.int32, rows), each)])
+            texts = None
+            if k == 1:
+                texts = [w for i in rows for w in table.column("texts")[i].as_py().split(b"\n")]
             keys, f, first, texts = summed(keys, f, first, texts)
             stay = np.flatnonzero((f >= threshold) | (first + shards - 1 > step))
             if len(stay):
@@ -308,7 +340,7 @@ def _frequent(dealt: DataFrame, longest: int, threshold: int, shards: int, n: in
     return out
 
 
-def frequent_phrases(documents: DataFrame, longest: int = 3, threshold: int = 10, shards: int = 4) -> DataFrame:
+def frequent_phrases(documents: DataFrame, longest: int = 3, threshold: int = 10, shards: int = 2) -> DataFrame:
     """PHRASES: all phrases of 1 to `longest` words (2 or more) that are there `threshold` times or more, as the codes
     of their words, with the word of those of one; and as the phrase of no words the number of all words of the
     language.
@@ -335,7 +367,7 @@ def frequent_phrases(documents: DataFrame, longest: int = 3, threshold: int = 10
 
 
 def collocations(documents: DataFrame, longest: int = 3, threshold: int = 10, top: int = 2000, inside: int = 50,
-                 shards: int = 4) -> DataFrame:
+                 shards: int = 2) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the best `top` phrases of 2 to `longest` words in each language.
 
     documents (lang, text): a null lang is 'und', a null text empty.  A-Z are lower-cased; a text is cut at
