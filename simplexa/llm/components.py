@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simplexa.llm.store import kept
+from simplexa.llm.store import discard, kept
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of edges (a, b): the smallest node that links lead to.
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) for every node of edges (a, b): the smallest node that links lead to.  The steps go on until
+    nothing changes.
 
     Each step hangs the neighbours of a node on its smallest one, in turn the larger and the smaller ones, until the
     edges are stars.  Minima are added up before the shuffle, and the join that follows has one row for each node on
@@ -34,10 +35,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = kept(now, "links")
     before = told(now)
-    for _ in range(rounds):
-        if not before[0]:
-            break
-        now = kept(star(star(now, True), False), "stars")
+    while before[0]:
+        last, now = now, kept(star(star(now, True), False), "stars")
+        discard(last)
         here = told(now)
         if here == before:
             break

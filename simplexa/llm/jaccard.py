@@ -9,6 +9,7 @@ subtree ends as soon as the n-grams that remain cannot reach the needed overlap.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 
 import numpy as np
@@ -35,7 +36,7 @@ BLOCK_SETS, BLOCK_GRAMS = 512, 1_000_000
 class Bands:
     """Sizes in bands such that partners are in the same band or the next.
 
-    Pairs whose smaller set is in band g have at most `cuts(g) - 1` n-grams that only one of them has.
+    Pairs whose smaller set is in band g have at most `differ(g)` n-grams that only one of them has.
     """
 
     def __init__(self, num: int, den: int):
@@ -43,19 +44,25 @@ class Bands:
         self.begins = [1]
         while self.begins[-1] < 1 << 40:
             self.begins.append(self.begins[-1] * den // num + 1)
-        self.bounds: dict[int, np.ndarray] = {}
+        self.bounds: dict[tuple[int, int], np.ndarray] = {}
 
     def of(self, size: int) -> int:
         return bisect_right(self.begins, size) - 1
 
-    def limits(self, g: int) -> np.ndarray:
-        """Where the segments of band g begin, in the upper half of the hash."""
-        if g not in self.bounds:
-            small = self.begins[g + 1] - 1
-            differ = (small + small * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
-            n = differ + 1
-            self.bounds[g] = (np.arange(n + 1, dtype=np.float64) * (2.0**32 / n)).astype(np.uint64)
-        return self.bounds[g]
+    def differ(self, g: int) -> int:
+        """The most n-grams that only one set of a pair in band g has."""
+        small = self.begins[g + 1] - 1
+        return (small + small * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
+
+    def limits(self, g: int, level: int) -> np.ndarray:
+        """Where the segments of band g begin, in the upper half of the hash.  Each level has more of them: by three
+        times those that a set leaves empty on average."""
+        if (g, level) not in self.bounds:
+            n = self.differ(g) + 1
+            empty = math.exp(-(self.den + self.num) / (2 * (self.den - self.num))) if self.num < self.den else 0
+            n += (level + 1) * math.ceil(3 * n * empty + 0.5)
+            self.bounds[g, level] = (np.arange(n + 1, dtype=np.float64) * (2.0**32 / n)).astype(np.uint64)
+        return self.bounds[g, level]
 
 
 def sets_of(texts: pa.Array, k: int):
@@ -86,14 +93,26 @@ def node_of(grams: np.ndarray) -> int:
 
 
 def segments(grams: np.ndarray, bands: Bands) -> np.ndarray:
-    """Digests of the segments of a set, for its own band as the smaller partner and the band before as the larger."""
+    """Digests of the segments of a set, for its own band as the smaller partner and the band before as the larger.
+
+    An empty segment says nothing and has no digest.  Where more than `differ` segments of a level hold something, one
+    of these is the same in any partner; else the set is told at the next level too.  Partners meet at the lower of
+    their last levels, where one of them has that many.
+    """
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ np.uint64(0x5BF0)))])
     upper, own, out = grams >> np.uint64(32), bands.of(len(grams)), []
     for g in (own, own - 1) if own else (own,):
-        at = np.searchsorted(upper, bands.limits(g))
-        at[-1] = len(grams)
-        place = np.arange(1, len(at), dtype=np.uint64) + np.uint64(g << 40)
-        out.append(mix((sums[at[1:]] - sums[at[:-1]]) ^ mix(place)))
+        for level in range(1 << 11):
+            limits = bands.limits(g, level)
+            at = np.searchsorted(upper, limits)
+            at[-1] = len(grams)
+            held = np.flatnonzero(at[1:] > at[:-1])
+            place = held.astype(np.uint64) + np.uint64((level << 52) + (g << 40) + 1)
+            out.append(mix((sums[at[held + 1]] - sums[at[held]]) ^ mix(place)))
+            if len(held) > bands.differ(g):
+                break
+        else:
+            raise RuntimeError("a set whose hashes fall on too few segments")
     return np.concatenate(out)
 
 
