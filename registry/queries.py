@@ -449,7 +449,7 @@ def f7_mini_summary(t: Roles) -> DataFrame:
 @query
 def f8_entity_from_keys(t: Roles) -> DataFrame:
     taxon = summary.aggregate_entity(t.strat(), summary.of_taxon("ECONOMY"), False, "counted")
-    logs = composition.dense(composition.clr(t.strat()))
+    logs = composition.dense(composition.of_features(composition.clr(t.strat()), summary.of_trait("Brand#1")))
     trait = summary.aggregate_entity(logs, summary.of_trait("Brand#1"), True, "averaged")
     return rounded(taxon.join(trait, "Sample"), "counted", "averaged")
 
@@ -475,9 +475,7 @@ def f11_box_summary(t: Roles) -> DataFrame:
 
 
 def _region_tests(t: Roles) -> DataFrame:
-    logs = composition.dense(composition.clr(t.strat()))
-    grouped = hypothesis.grouped_values(logs, t.metadata(), "Region")
-    return hypothesis.benjamini_hochberg(hypothesis.kruskal_wallis(grouped, "Region"))
+    return hypothesis.benjamini_hochberg(hypothesis.kruskal_wallis(_grouped(t, "Region"), "Region"))
 
 
 @query
@@ -547,7 +545,7 @@ def g9_heatmap(t: Roles) -> DataFrame:
     sparse = composition.clr(t.strat())
     scored = rounded(composition.feature_variances(sparse), "variance")
     chosen = summary.diverse_top(scored, 20)
-    return rounded(summary.heatmap(composition.dense(sparse), chosen, t.metadata(), "Region"), "Value")
+    return rounded(summary.heatmap(sparse, chosen, t.metadata(), "Region"), "Value")
 
 
 # --- set operations ---------------------------------------------------------
@@ -636,8 +634,7 @@ def _distances(t: Roles):
 
 @query
 def k5_permanova(t: Roles) -> DataFrame:
-    sparse, distances = _distances(t)
-    result = permanova.permanova(distances, t.metadata(), "Region", samples=sparse.baseline)
+    result = permanova.permanova(composition.clr(t.strat()), t.metadata(), "Region")
     return rounded(result, "test_statistic", "p_value").select(
         "method", "test_statistic", "p_value", "n_samples", "n_groups"
     )
@@ -646,14 +643,14 @@ def k5_permanova(t: Roles) -> DataFrame:
 # --- tests and correlation --------------------------------------------------
 
 
-def _grouped(t: Roles, group: str) -> DataFrame:
-    logs = composition.dense(composition.clr(t.strat()))
-    return hypothesis.grouped_values(logs, t.metadata(), group)
+def _grouped(t: Roles, group: str) -> composition.SparseClr:
+    return hypothesis.grouped_values(composition.clr(t.strat()), t.metadata(), group)
 
 
 @query
 def l1_test_table(t: Roles) -> DataFrame:
-    return rounded(_grouped(t, "Region"), "Value")
+    logs = composition.dense(composition.clr(t.strat()))
+    return rounded(hypothesis.grouped_values(logs, t.metadata(), "Region"), "Value")
 
 
 @query
@@ -666,8 +663,7 @@ def l2_kruskal_wallis(t: Roles) -> DataFrame:
 @query
 def l2_kruskal_wallis_ties(t: Roles) -> DataFrame:
     """Raw counts, whose zeros are one large tie."""
-    full = reshape.complete_zeros(t.strat())
-    grouped = hypothesis.grouped_values(full, t.metadata(), "Region")
+    grouped = hypothesis.grouped_values(composition.sparse_counts(t.strat()), t.metadata(), "Region")
     return rounded(hypothesis.kruskal_wallis(grouped, "Region"), "test_statistic", "p_value")
 
 
@@ -691,16 +687,14 @@ def l5_false_discovery(t: Roles) -> DataFrame:
 
 @query
 def l6_chosen_test(t: Roles) -> DataFrame:
-    logs = composition.dense(composition.clr(t.strat()))
     return rounded(
-        hypothesis.group_tests(logs, t.metadata(), "Balance"), "test_statistic", "p_value", "q_value"
+        hypothesis.group_tests(composition.clr(t.strat()), t.metadata(), "Balance"), "test_statistic", "p_value", "q_value"
     )
 
 
 @query
 def l7_spearman(t: Roles) -> DataFrame:
-    logs = composition.dense(composition.clr(t.strat()))
-    table = hypothesis.spearman(logs, t.metadata(), "acctbal")
+    table = hypothesis.spearman(composition.clr(t.strat()), t.metadata(), "acctbal")
     return rounded(table, "correlation", "p_value", "q_value", "abs_correlation")
 
 

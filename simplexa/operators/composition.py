@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simplexa.names import FEATURE, SAMPLE, VALUE
@@ -120,6 +120,27 @@ def dense(table: SparseClr, value: str = VALUE) -> DataFrame:
     )
 
 
+def of_features(table: SparseClr, chosen: Column | DataFrame) -> SparseClr:
+    """The table of some features: a condition on their names, or a frame of them."""
+    if isinstance(chosen, DataFrame):
+        names = chosen.select(FEATURE).distinct()
+        return SparseClr(
+            table.cells.join(names, FEATURE, "left_semi"), table.baseline,
+            table.features.join(names, FEATURE, "left_semi"),
+        )
+    return SparseClr(table.cells.filter(chosen), table.baseline, table.features.filter(chosen))
+
+
+def sparse_counts(long: DataFrame) -> SparseClr:
+    """Counts as they are, in the sparse form: the cells, and zero as the baseline of every sample."""
+    cells = stored(cell_totals(long), "cells")
+    return SparseClr(
+        cells.select(SAMPLE, FEATURE, F.coalesce(F.col(VALUE), F.lit(0.0)).alias("clr")),
+        cells.select(SAMPLE).distinct().withColumn("baseline", F.lit(0.0)),
+        cells.select(FEATURE).distinct(),
+    )
+
+
 def clr_sums(table: SparseClr) -> DataFrame:
     """Sum of all CLR values per sample; zero up to rounding."""
     width = table.features.agg(F.count(F.lit(1))).scalar()

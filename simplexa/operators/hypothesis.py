@@ -1,8 +1,9 @@
 """Rank tests, effect sizes, false-discovery control and correlation screens.
 
-Tests take a long table with one row per (sample, feature), so after CLR the
-dense form.  Values are counted per (feature, value, group) before anything is
-ranked, which combines ties on the map side.
+Tests take a long table with one row per (sample, feature), or a sparse CLR
+whose absent cells then cost nothing (`ranks`).  Long values are counted per
+(feature, value, group) before anything is ranked, which combines ties on the
+map side.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from simplexa.operators.ordered import (
     slice_by_order,
     value_counts,
 )
+from simplexa.operators.ranks import corrected_sum, sparse_rank_sums
 from simplexa.sources.shared import stored
 
 # Fixed value: at or below this group size untied data get the exact p-value.
@@ -35,10 +37,17 @@ SIGNIFICANT = 0.05
 
 
 def grouped_values(
-    long: DataFrame, metadata: DataFrame, group: str, sample: str = SAMPLE
-) -> DataFrame:
-    """Attach the group; samples without one do not take part in tests."""
-    return join_metadata(long, metadata.filter(F.col(group).isNotNull()), [group], sample)
+    long: DataFrame | SparseClr, metadata: DataFrame, group: str, sample: str = SAMPLE
+) -> DataFrame | SparseClr:
+    """Attach the group; samples without one do not take part in tests.
+
+    A sparse table gets it on its baselines.
+    """
+    known = metadata.filter(F.col(group).isNotNull())
+    if isinstance(long, SparseClr):
+        known = known.withColumnRenamed(sample, SAMPLE)
+        return long._replace(baseline=join_metadata(long.baseline, known, [group]))
+    return join_metadata(long, known, [group], sample)
 
 
 def rank_sums(
@@ -55,21 +64,45 @@ def rank_sums(
     )
 
 
+def _sparse_sums(grouped: SparseClr, group: str, slice_rows: int) -> DataFrame:
+    """The features' corrections, each with all groups (key, n, base) as an array."""
+    weights = grouped.baseline.select(SAMPLE, F.col(group).cast("string").alias("key"), F.lit(1.0).alias("a"))
+    keys, features = sparse_rank_sums(grouped, weights, slice_rows)
+    groups = keys.agg(F.sort_array(F.collect_list(F.struct("key", "n", "base")))).scalar()
+    return features.withColumn("_groups", groups)
+
+
 def kruskal_wallis(
-    grouped: DataFrame, group: str, feature: str = FEATURE, value: str = VALUE,
+    grouped: DataFrame | SparseClr, group: str, feature: str = FEATURE, value: str = VALUE,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Feature, test_statistic (tie-corrected H), p_value; sorted by feature.
 
     Fewer than two groups, or a constant feature, gives NaN.
     """
-    sums = rank_sums(grouped, group, feature, value, slice_rows)
-    per = sums.groupBy(feature).agg(
-        F.count(F.lit(1)).alias("k"),
-        F.sum("n").alias("n"),
-        F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("spread"),
-        F.sum("tie_term").alias("ties"),
-    )
+    if isinstance(grouped, SparseClr):
+        feature = FEATURE
+        features, groups = _sparse_sums(grouped, group, slice_rows), F.col("_groups")
+
+        def added(total, g):
+            ranks = corrected_sum(g["key"], g["base"])
+            return total + ranks * ranks / g["n"]
+
+        per = features.select(
+            feature,
+            F.size(groups).cast("bigint").alias("k"),
+            F.aggregate(groups, F.lit(0.0), lambda total, g: total + g["n"]).alias("n"),
+            F.aggregate(groups, F.lit(0.0), added).alias("spread"),
+            "ties",
+        )
+    else:
+        sums = rank_sums(grouped, group, feature, value, slice_rows)
+        per = sums.groupBy(feature).agg(
+            F.count(F.lit(1)).alias("k"),
+            F.sum("n").alias("n"),
+            F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("spread"),
+            F.sum("tie_term").alias("ties"),
+        )
     n = F.col("n")
     h = 12 / (n * (n + 1)) * F.col("spread") - 3 * (n + 1)
     correction = 1 - ieee_divide(F.col("ties"), n * n * n - n)
@@ -84,18 +117,27 @@ def kruskal_wallis(
     ).orderBy("Feature")
 
 
-def mann_whitney(
-    grouped: DataFrame, group: str, group_1: str, group_2: str, feature: str = FEATURE,
-    value: str = VALUE, slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """Feature, test_statistic (U of group_1), p_value, cliffs_delta, n1, n2.
+def _pair_sums(grouped, group, group_1, group_2, feature, value, slice_rows) -> DataFrame:
+    """Per feature: n1, n2, the rank sum of group_1 and the tie term."""
+    pair = F.col(group).isin(group_1, group_2)
+    if isinstance(grouped, SparseClr):
+        groups = F.col("_groups")
+        features = _sparse_sums(
+            grouped._replace(baseline=grouped.baseline.filter(pair)), group, slice_rows
+        )
 
-    Two-sided.  Exact when a group has at most eight rows and nothing is tied,
-    otherwise normal with tie and continuity correction.  A feature without
-    rows in one group gives NaN.
-    """
-    pair = grouped.filter(F.col(group).isin(group_1, group_2))
-    sums = rank_sums(pair, group, feature, value, slice_rows)
+        def of(name, value):
+            own = F.filter(groups, lambda g: g["key"] == F.lit(name).cast("string"))
+            return F.aggregate(own, F.lit(0.0), lambda total, g: total + value(g))
+
+        return features.select(
+            F.col(FEATURE).alias(feature),
+            of(group_1, lambda g: g["n"]).alias("n1"),
+            of(group_2, lambda g: g["n"]).alias("n2"),
+            of(group_1, lambda g: corrected_sum(g["key"], g["base"])).alias("r1"),
+            "ties",
+        )
+    sums = rank_sums(grouped.filter(pair), group, feature, value, slice_rows)
 
     def of(name, column):
         return F.coalesce(F.sum(F.when(F.col(group) == name, F.col(column))), F.lit(0.0))
@@ -107,7 +149,20 @@ def mann_whitney(
         F.sum("tie_term").alias("ties"),
     )
     every = grouped.select(feature).distinct().join(per, feature, "left")
-    every = every.na.fill(0.0, ["n1", "n2", "r1", "ties"])
+    return every.na.fill(0.0, ["n1", "n2", "r1", "ties"])
+
+
+def mann_whitney(
+    grouped: DataFrame | SparseClr, group: str, group_1: str, group_2: str, feature: str = FEATURE,
+    value: str = VALUE, slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Feature, test_statistic (U of group_1), p_value, cliffs_delta, n1, n2.
+
+    Two-sided.  Exact when a group has at most eight rows and nothing is tied,
+    otherwise normal with tie and continuity correction.  A feature without
+    rows in one group gives NaN.
+    """
+    every = _pair_sums(grouped, group, group_1, group_2, feature, value, slice_rows)
     n1, n2 = F.col("n1"), F.col("n2")
     n, pairs, both = n1 + n2, n1 * n2, (n1 > 0) & (n2 > 0)
     u = F.when(both, F.col("r1") - n1 * (n1 + 1) / 2).otherwise(F.lit(NAN))
@@ -138,7 +193,7 @@ def mann_whitney(
 
 
 def cliffs_delta(
-    grouped: DataFrame, group: str, group_1: str, group_2: str, feature: str = FEATURE,
+    grouped: DataFrame | SparseClr, group: str, group_1: str, group_2: str, feature: str = FEATURE,
     value: str = VALUE,
 ) -> DataFrame:
     """(pairs above - pairs below) / all pairs, from the rank sums."""
@@ -178,7 +233,7 @@ def benjamini_hochberg(
             Window.unboundedPreceding, -1
         )
         after = lowest.select(*slices.block, F.min("_low").over(later).alias("_later"))
-        lowered = lowered.join(F.broadcast(after), slices.block, "left")
+        lowered = lowered.join(after, slices.block, "left")
     else:
         lowered = lowered.withColumn("_later", F.lit(None).cast("double"))
     q = F.least(F.col("_own"), F.col("_later"), F.lit(1.0))
@@ -195,7 +250,7 @@ def with_flags(tests: DataFrame, alpha: float = SIGNIFICANT) -> DataFrame:
 
 
 def group_tests(
-    long: DataFrame, metadata: DataFrame, group: str, sample: str = SAMPLE,
+    long: DataFrame | SparseClr, metadata: DataFrame, group: str, sample: str = SAMPLE,
     feature: str = FEATURE, value: str = VALUE,
 ) -> DataFrame | None:
     """The test that fits the number of groups in the metadata, with q-values.
@@ -313,15 +368,38 @@ def _sparse_products(table: SparseClr, metadata: DataFrame, attribute: str, samp
     )
 
 
+def _sparse_ranked(table: SparseClr, metadata, attribute, sample, slice_rows) -> DataFrame:
+    """Centred sums of squares and products of ranks: the attribute is ranked once for all features."""
+    y = metadata.select(F.col(sample).alias(SAMPLE), F.col(attribute).cast("double").alias("_y"))
+    known = stored(table.baseline.join(y, SAMPLE).filter(~is_missing("_y")), "attribute")
+    ranks = stored(midranks(known, [], "_y", (), slice_rows), "attribute-ranks")
+    centred = F.col("midrank") - (F.col("total") + 1) / 2
+    weights = known.join(ranks, "_y").select(SAMPLE, F.lit("").alias("key"), centred.alias("a"))
+    keys, features = sparse_rank_sums(table, weights, slice_rows)
+    one = keys.agg(F.struct(F.first("n").alias("n"), F.first("base").alias("base"))).scalar()
+    squares = ranks.agg(F.sum(F.col("n") * centred * centred)).scalar()
+    n = one.getField("n")
+    return features.select(
+        FEATURE,
+        n.alias("n"),
+        corrected_sum(F.lit(""), one.getField("base")).alias("sxy"),
+        ((n * n * n - n - F.col("ties")) / 12).alias("sxx"),
+        squares.alias("syy"),
+    ).filter("n IS NOT NULL")
+
+
 def spearman(
-    long: DataFrame, metadata: DataFrame, attribute: str, sample: str = SAMPLE,
+    long: DataFrame | SparseClr, metadata: DataFrame, attribute: str, sample: str = SAMPLE,
     feature: str = FEATURE, value: str = VALUE, slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Rank correlation of every feature with a numeric attribute, largest first.
 
     Ranks are taken over distinct values and joined back to the distinct pairs,
-    so a heavily tied value meets one rank row.
+    so a heavily tied value meets one rank row.  A sparse CLR is ranked from its
+    stored cells.
     """
+    if isinstance(long, SparseClr):
+        return _correlation_result(_sparse_ranked(long, metadata, attribute, sample, slice_rows), FEATURE)
     pairs = _attribute_pairs(long, metadata, attribute, sample, feature, value)
     counted = stored(value_counts(pairs, [feature, "_x", "_y"], "_pairs"), "pairs")
 

@@ -10,9 +10,10 @@ cut points are then a cheap scan of its order columns.  Finding none is also the
 size check: a key of n rows stays uncut with probability exp(-n / slice_rows), so
 a table without cut points has only small keys and takes the plain window.
 
-There is one cut point per ``slice_rows`` rows on average and at most twice as
-many carried totals, about a millionth of the input with the default.  That bound
-is why both are broadcast.
+There is one cut point per ``slice_rows`` rows on average.  Cut points are
+broadcast, so they are counted first, and beyond ``MOST_CUTS`` slices grow instead.
+A row finds its slice by halving the sorted cut points of its key.  Carried totals
+meet the rows on the slice, by which both are dealt already.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from simplexa.sources.shared import stored
 
 SLICE_ROWS = 1 << 20
+# Cut points that are broadcast, at most.
+MOST_CUTS = 1 << 19
 
 _EVERYTHING = "_everything"
 _HELPERS = ("_slice", "_cut", "_before", "_whole", "_local", "_slice_total", "_order", _EVERYTHING)
@@ -58,11 +61,18 @@ def slice_by_order(
         keys, rows = [_EVERYTHING], rows.withColumn(_EVERYTHING, F.lit(0))
     keys = list(keys)
     hashed = [k for k in keys if k != _EVERYTHING]
-    picked = rows.filter(F.pmod(F.xxhash64(*hashed, order), F.lit(slice_rows)) == 0)
-    if picked.isEmpty():
+    place = F.xxhash64(*hashed, order)
+    picked = rows.filter(F.pmod(place, F.lit(slice_rows)) == 0).select(*keys, order).distinct()
+    count = picked.count()
+    if not count:
         return Slices(rows, keys, False)
-    cuts = picked.groupBy(*keys).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
+    if count > MOST_CUTS:
+        # Of these a share that a part of the same hash picks.
+        picked = picked.filter(
+            F.pmod(F.floor(place / slice_rows), F.lit(-(-count // MOST_CUTS))) == 0
+        )
+    cuts = picked.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_cuts"))
+    below = _cuts_below("_cuts", order, min(count, 2 * MOST_CUTS))
     placed = (
         rows.join(F.broadcast(cuts), keys, "left")
         .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(below))
@@ -74,6 +84,17 @@ def slice_by_order(
     return Slices(placed, keys, True)
 
 
+def _cuts_below(cuts: str, order: str, most: int):
+    """How many of the sorted cut points, `most` or fewer, are below the row."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, most.bit_length())))))
+
+    def halved(passed, step):
+        cut = F.get(F.col(cuts), passed + step - 1)
+        return F.when(cut.isNotNull() & (cut < F.col(order)), passed + step).otherwise(passed)
+
+    return F.aggregate(steps, F.lit(0), halved)
+
+
 def carry(rows: DataFrame, slices: Slices, weight) -> DataFrame:
     """Add ``_before``, the weight in earlier slices of the key, and ``_whole``,
     the weight of the key, null where the key is one slice."""
@@ -87,7 +108,7 @@ def carry(rows: DataFrame, slices: Slices, weight) -> DataFrame:
         F.sum("_here").over(earlier).alias("_before"),
         F.sum("_here").over(whole).alias("_whole"),
     )
-    carried = rows.join(F.broadcast(totals), slices.block, "left")
+    carried = rows.join(totals, slices.block, "left")
     return carried.withColumn("_before", F.coalesce("_before", F.lit(0)))
 
 
@@ -97,13 +118,15 @@ def running_counts(
     value: str,
     weight: str,
     slice_rows: int = SLICE_ROWS,
+    store: bool = True,
 ) -> DataFrame:
     """Add ``_cum``, ``_ties`` and ``_total``: the weight at or below the value,
     at the value, and in the whole key.
 
     Rows should be pre-aggregated: few rows may share a key and value.
+    ``store=False`` is for a table that is stored already.
     """
-    slices = slice_by_order(df, keys, value, slice_rows)
+    slices = slice_by_order(df, keys, value, slice_rows, store)
     within = Window.partitionBy(*slices.block)
     upto = within.orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     tied = Window.partitionBy(*slices.block, value)

@@ -1,4 +1,9 @@
-"""One-way permutational analysis of variance on an edge list of distances."""
+"""One-way permutational analysis of variance.
+
+On Euclidean distances of a sparse CLR it works from the stored cells: sums of squares around a group's centre follow
+from the squared length of the group's sum of rows, so each permutation costs a pass over the cells and no distance is
+made.  Other metrics take an edge list.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simplexa.names import SAMPLE
+from simplexa.names import FEATURE, SAMPLE
 from simplexa.operators.checks import require_samples
+from simplexa.operators.composition import SparseClr
 from simplexa.operators.diversity import block_count
 from simplexa.operators.joins import spread_out
 from simplexa.operators.ordered import positions
@@ -165,22 +171,136 @@ def permutation_statistics(
     )
 
 
+# Labels of one tile, and cells of one block of features.
+TILE_LABELS, TILE_PERMUTATIONS, BLOCK_CELLS = 1 << 23, 64, 1 << 20
+
+
+def _group_squares(width: int):
+    """Per permutation and group of a tile: the squares, added over features, of the group's sum of cells; and in the
+    first block of features the group's sums over samples."""
+
+    def measure(key, cells: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        block, tile = key
+        names = names.sort_values("_index")
+        labels = np.stack(names["labels"])
+        codes = np.searchsorted(np.unique(labels[:, 0]), labels)
+        k = int(codes.max()) + 1
+        feature, seen = pd.factorize(cells[FEATURE])
+        sample, u = cells["_index"].to_numpy().astype(int), cells["u"].to_numpy().astype(float)
+        out = []
+        for p in range(codes.shape[1]):
+            own = codes[:, p]
+            sums = np.bincount(feature * k + own[sample], weights=u, minlength=len(seen) * k).reshape(-1, k)
+            row = {"permutation": tile * width + p, "label": np.arange(k), "squares": (sums * sums).sum(axis=0)}
+            for column in ("b", "row"):
+                here = np.bincount(own, weights=names[column], minlength=k)
+                row[column] = here if block == 0 else np.zeros(k)
+            row["n"] = np.bincount(own, minlength=k).astype(float) if block == 0 else np.zeros(k)
+            out.append(pd.DataFrame(row))
+        return pd.concat(out)
+
+    return measure
+
+
+def cell_statistics(
+    table: SparseClr, labels: DataFrame, group: str, permutations: int = PERMUTATIONS, seed: int = 42,
+    sample: str = SAMPLE, tile_labels: int = TILE_LABELS, block_cells: int = BLOCK_CELLS,
+) -> DataFrame:
+    """(permutation, n, k, f) as `permutation_statistics` has them for Euclidean distances, from the stored cells.
+
+    Cells are dealt by blocks of features and met with the labels of all samples for a few permutations at a time.
+    """
+    labels = labels.filter(F.col(group).isNotNull()).select(
+        F.col(sample).alias(SAMPLE), F.col(group).cast("string").alias(group)
+    )
+    known = stored(
+        positions(labels.join(table.baseline, SAMPLE), [], [SAMPLE], "_index").withColumn(
+            "_index", F.col("_index").cast("int") - 1), "labels"
+    )
+    # Rows less the mean baseline: no distance changes, and nothing large cancels.
+    middle = known.agg(F.avg("baseline")).scalar()
+    cells = stored(
+        table.cells.join(known.select(SAMPLE, "_index", "baseline"), SAMPLE).select(
+            "_index", FEATURE, (F.col("clr") - F.col("baseline")).alias("u")), "differences"
+    )
+    rows = cells.groupBy("_index").agg(F.sum("u").alias("row"), F.sum(F.col("u") * F.col("u")).alias("square"))
+    samples = stored(
+        known.join(rows, "_index", "left").na.fill(0.0, ["row", "square"]).select(
+            SAMPLE, "_index", (F.col("baseline") - middle).alias("b"), "row", "square"), "samples"
+    )
+    size = samples.agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"), F.sum("row").alias("row"), F.sum("square").alias("square"),
+        F.sum(F.col("b") * F.col("b")).alias("bb"), F.sum(F.col("b") * F.col("row")).alias("br"),
+    ).alias("s")).first()["s"]
+    count = cells.count()
+    width = max(1, min(TILE_PERMUTATIONS, tile_labels // max(1, size["n"])))
+    tiles, blocks = -(-(permutations + 1) // width), max(1, -(-count // block_cells))
+    arrays = (
+        permuted_labels(known.select(SAMPLE, group), group, permutations, seed)
+        .groupBy(SAMPLE)
+        .agg(F.sort_array(F.collect_list(F.struct("permutation", "label"))).alias("_l"))
+        .join(samples, SAMPLE)
+        .select("_index", "b", "row", F.col("_l.label").alias("_labels"),
+                F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_tile"))
+        .select("_index", "b", "row", "_tile", F.slice("_labels", F.col("_tile") * width + 1, F.lit(width)).alias("labels"),
+                F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    )
+    dealt = cells.select(
+        "*", F.pmod(F.xxhash64(FEATURE), F.lit(blocks)).cast("int").alias("_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_tile"),
+    )
+    sums = (
+        spread_out(dealt, "_block", "_tile").groupBy("_block", "_tile")
+        .cogroup(spread_out(arrays, "_block", "_tile").groupBy("_block", "_tile"))
+        .applyInPandas(
+            _group_squares(width),
+            "permutation int, label int, squares double, b double, row double, n double")
+        .groupBy("permutation", "label")
+        .agg(*(F.sum(c).alias(c) for c in ("squares", "b", "row", "n")))
+    )
+    features = table.features.agg(F.count(F.lit(1)).cast("double")).scalar()
+    whole = cells.groupBy(FEATURE).agg(F.sum("u").alias("s")).agg(
+        F.coalesce(F.sum(F.col("s") * F.col("s")), F.lit(0.0))).scalar()
+    d, n = F.col("_d"), F.lit(float(size["n"]))
+
+    def around(squares, b, row, members):
+        """Squared length of a sum of rows over its number: (b + u)**2 over all features."""
+        return (d * b * b + 2 * b * row + squares) / members
+
+    length = d * F.lit(size["bb"] or 0.0) + F.lit(2 * (size["br"] or 0.0) + (size["square"] or 0.0))
+    total = length - around(F.col("_whole"), F.lit(size["b"] or 0.0), F.lit(size["row"] or 0.0), n)
+    per = sums.withColumns({"_d": features, "_whole": whole}).groupBy("permutation", "_d", "_whole").agg(
+        F.sum(around(F.col("squares"), F.col("b"), F.col("row"), F.col("n"))).alias("centres"),
+        F.count(F.lit(1)).cast("double").alias("k"),
+    )
+    within = length - F.col("centres")
+    return per.select("permutation", n.alias("n"), "k", total.alias("_total"), within.alias("_within")).select(
+        "permutation", "n", "k",
+        ((F.col("_total") - F.col("_within")) / (F.col("k") - 1) / (F.col("_within") / (F.col("n") - F.col("k")))).alias("f"),
+    )
+
+
 def permanova(
-    distances: DataFrame, metadata: DataFrame, group: str, permutations: int = PERMUTATIONS,
+    distances: DataFrame | SparseClr, metadata: DataFrame, group: str, permutations: int = PERMUTATIONS,
     seed: int = 42, sample: str = SAMPLE, samples: DataFrame | None = None,
     check: bool = True,
 ) -> DataFrame:
     """One row: method, formula, test_statistic, p_value, permutations, n, groups.
 
-    ``check`` runs one small job and raises if the metadata lack a sample.
+    A sparse CLR stands for the Euclidean distances of its rows, none of which is made.  ``check`` runs one small job and raises if the metadata lack a sample.
     """
     if group not in metadata.columns:
         raise ValueError(f"no column {group!r} in the metadata")
-    if check:
-        require_samples(samples or distance_samples(distances), metadata, sample)
-    stats = permutation_statistics(
-        distances, metadata, group, permutations, seed, sample, samples
-    )
+    if isinstance(distances, SparseClr):
+        if check:
+            require_samples(distances.baseline, metadata, sample)
+        stats = cell_statistics(distances, metadata, group, permutations, seed, sample)
+    else:
+        if check:
+            require_samples(samples or distance_samples(distances), metadata, sample)
+        stats = permutation_statistics(
+            distances, metadata, group, permutations, seed, sample, samples
+        )
     gathered = stats.groupBy("n", "k").agg(
         F.max(F.when(F.col("permutation") == 0, F.col("f"))).alias("test_statistic"),
         F.collect_list(F.when(F.col("permutation") > 0, F.col("f"))).alias("_drawn"),

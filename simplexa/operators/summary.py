@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from simplexa.functions.expressions import ieee_divide, is_missing
 from simplexa.names import FEATURE, SAMPLE, SEPARATOR, VALUE
+from simplexa.operators.composition import SparseClr, dense, of_features
 from simplexa.operators.hypothesis import SIGNIFICANT
 from simplexa.operators.joins import join_metadata
 from simplexa.operators.ordered import SLICE_ROWS, exact_quantiles
@@ -98,11 +99,6 @@ def entity_scatter(
     return join_metadata(points, metadata.select(sample, colour).distinct(), [colour], sample, "left")
 
 
-def variances(df: DataFrame, feature: str = FEATURE, value: str = VALUE) -> DataFrame:
-    """Sample variance per feature of a dense long table."""
-    return df.groupBy(feature).agg(F.var_samp(value).alias("variance"))
-
-
 def significance_tally(tests: DataFrame, alpha: float = SIGNIFICANT) -> DataFrame:
     """One row: features tested, and how many pass on p and on q, with shares."""
 
@@ -197,11 +193,17 @@ def volcano(
 
 
 def heatmap(
-    dense: DataFrame, chosen: DataFrame, metadata: DataFrame | None = None,
+    table: DataFrame | SparseClr, chosen: DataFrame, metadata: DataFrame | None = None,
     group: str | None = None, feature: str = FEATURE, sample: str = SAMPLE,
 ) -> DataFrame:
-    """The cells of the chosen features, with the sample's group."""
-    cells = dense.join(chosen.select(feature), feature, "left_semi")
+    """The cells of the chosen features, with the sample's group.
+
+    Of a sparse table only the chosen features are unpacked.
+    """
+    if isinstance(table, SparseClr):
+        cells = dense(of_features(table, chosen.select(F.col(feature).alias(FEATURE))))
+    else:
+        cells = table.join(chosen.select(feature), feature, "left_semi")
     if metadata is None or group is None:
         return cells
     return join_metadata(cells, metadata, [group], sample, "left")

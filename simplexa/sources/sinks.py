@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simplexa.operators.composition import SparseClr, clr, dense
-from simplexa.operators.keys import combine_key, split_key
-from simplexa.operators.reshape import features_by_samples, samples_by_features
+from simplexa.operators.keys import clean_key, combine_key, split_key
+from simplexa.operators.reshape import features_by_samples, samples_by_features, to_long
 from simplexa.operators.summary import sorted_nulls_last
 from simplexa.names import FEATURE, SAMPLE, VALUE
 
@@ -53,10 +53,27 @@ def layouts(
     long = combine_key(table, sample, value).select(
         F.col(sample).alias(SAMPLE), FEATURE, F.col(value).alias(VALUE)
     )
+    return {"raw_long": table, **_layouts(long, split, by_feature)}
+
+
+def wide_layouts(
+    table: DataFrame, index: str, by_feature: bool, split: bool = False, export_by_feature: bool = False,
+) -> dict[str, DataFrame | SparseClr]:
+    """The same layouts, but ``raw_long``, of a wide table whose column ``index`` names its rows: features if
+    ``by_feature``, else samples.  A separator in these names becomes an underscore.
+    """
+    named = table.withColumn(index, clean_key(F.col(f"`{index}`")))
+    if by_feature:
+        long = to_long(named, index, name=SAMPLE).withColumnRenamed(index, FEATURE)
+    else:
+        long = to_long(named, index, name=FEATURE).withColumnRenamed(index, SAMPLE)
+    return _layouts(long.select(SAMPLE, FEATURE, VALUE), split, export_by_feature)
+
+
+def _layouts(long: DataFrame, split: bool, by_feature: bool) -> dict[str, DataFrame | SparseClr]:
     sparse = clr(long)
     logs = dense(sparse)
     out = {
-        "raw_long": table,
         "raw_wide_N_D": samples_by_features(long),
         "clr": sparse,
         "clr_wide_N_D": samples_by_features(logs),

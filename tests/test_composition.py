@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from simplexa.operators import checks, composition, diversity, keys, ordination, permanova, reshape, summary
 from simplexa.sources import sinks
@@ -114,6 +115,7 @@ def test_sample_run(spark, sample_run):
     assert r["test_statistic"] == pytest.approx(176.17071444, abs=1e-7)
     # 20 arrangements, two of them as good as the observed one: about 0.1.
     assert r["p_value"] == pytest.approx(0.1, abs=0.03)
+    assert permanova.permanova(sparse, md, "Treatment").first()["test_statistic"] == pytest.approx(176.17071444, abs=1e-7)
     scores = mapping(ordination.pca(sparse).scores, "Sample", "PC1")
     assert scores["S1"] == pytest.approx(-2.02857858, abs=1e-6)
     assert scores["S6"] == pytest.approx(1.95796106, abs=1e-6)
@@ -137,6 +139,20 @@ def test_permanova_blocks_errors_and_brute_force(spark):
         total = sum(d * d for *_, d in edges) / 12
         within = sum(d * d / sizes[lab[i]] for i, j, d in edges if lab[i] == lab[j])
         assert stats[p] == pytest.approx(((total - within) / 2) / (within / 9))
+    # From the cells of a sparse table: the same statistics as from its distances, whatever the tiles.
+    counts = rng.poisson(1.0, size=(12, 7)).astype(float)
+    counts[:, 0], counts[4, 1:] = rng.integers(1, 9, 12), 0
+    sparse = composition.clr(table(spark, {f"s{i:02d}": row for i, row in enumerate(counts.tolist())}))
+    some = md.withColumn("g", F.when(F.col("Sample") != "s07", F.col("g")))
+    want = mapping(permanova.permutation_statistics(
+        diversity.beta_diversity(sparse, "aitchison"), some, "g", 9), "permutation", "f")
+    for tiles in ({}, {"tile_labels": 25, "block_cells": 4}):
+        got = mapping(permanova.cell_statistics(sparse, some, "g", 9, **tiles), "permutation", "f")
+        assert got == pytest.approx(want, rel=1e-9)
+    one = permanova.permanova(sparse, md, "g", 19).first()
+    two = permanova.permanova(diversity.beta_diversity(sparse, "aitchison"), md, "g", 19).first()
+    assert (one["n_samples"], one["n_groups"], one["p_value"]) == (two["n_samples"], two["n_groups"], two["p_value"])
+    assert one["test_statistic"] == pytest.approx(two["test_statistic"], rel=1e-9)
     with pytest.raises(ValueError, match="lack samples"):
         permanova.permanova(df, md.filter("Sample <> 's03'"), "g")
     with pytest.raises(ValueError, match="no column"):

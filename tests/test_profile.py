@@ -148,3 +148,21 @@ def test_tables_from_composed_plans(spark, tables):
     tax = spark.createDataFrame([("A1", "k__B; p__P"), ("A2", "k__A")], "ASV_ID string, taxonomy string")
     merged = composed.lineage_table(counts, tax).collect()
     assert merged[0]["Kingdom"] == "A" and merged[-1]["Kingdom"] is None and len(merged) == 10
+
+
+def test_all_profiles(spark, marked):
+    counts, marker, copies = marked
+    tax = spark.createDataFrame([("ASV1", "k__B; p__P; g__G"), ("ASV2", "k__B; p__Q")], "ASV_ID string, taxonomy string")
+    raw = spark.createDataFrame([("P1-K00001", "x"), ("P2-K00002", "x")], "PGPT_ID string, Lv3 string")
+    settings = dict(max_nsti=2.0, prefix="ko:", on_zero_marker="drop")
+    done = composed.profiles(counts, marker, copies, tax, raw, "Lv3", **settings)
+    assert mapping(done.traits, ["Lv3", "Sample"], "Value") == {("x", "SampleA"): 200, ("x", "SampleB"): 20}
+    assert done.functions.count() == 3 and done.stratified is None and done.failure is None
+    assert done.lineage.filter("Phylum = 'Q'").count() == 2
+    with_taxa = composed.profiles(counts, marker, copies, tax, raw, "Lv3", "Phylum", **settings)
+    got = mapping(with_taxa.stratified, ["Phylum", "Lv3", "Sample"], "Value")
+    assert got["P", "x", "SampleA"] == 100 and got["Q", "x", "SampleA"] == 100
+    # Nothing matches in the stratified part: the others are there, and the reason.
+    lost = composed.profiles(counts, marker, copies, tax, raw.filter("false"), "Lv3", "Phylum", **settings)
+    assert lost.stratified is None and "no functions matched" in lost.failure
+    assert lost.functions.count() == 3 and lost.lineage.count() == done.lineage.count()

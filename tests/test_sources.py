@@ -1,6 +1,8 @@
 import gzip
 import os
 
+import pytest
+
 from simplexa.sources import delimited, sinks
 from simplexa.sources.shared import shared_folder, stored
 from tests.helpers import rows
@@ -67,3 +69,34 @@ def test_stored_tables_go_to_the_shared_folder(spark):
     assert df.count() == 5
     assert df.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(
         shared_folder(spark).removeprefix("file:").lstrip("/"))
+
+
+def test_layouts_of_wide_tables(spark):
+    by_feature = spark.createDataFrame([("T|a", 10, 5, 15), ("b", 15, 20, 0)], "Lv3 string, S1 int, S2 int, S3 int")
+    by_sample = spark.createDataFrame(
+        [("S1", 10.0, 15.0), ("S2", 5.0, 20.0), ("S3", 15.0, 0.0)], "id string, T_a double, b double")
+    one = sinks.wide_layouts(by_feature, "Lv3", by_feature=True, split=True, export_by_feature=True)
+    two = sinks.wide_layouts(by_sample, "id", by_feature=False)
+    assert set(one) == {"raw_wide_N_D", "clr", "clr_wide_N_D", "clr_wide_D_N_split", "raw_wide_D_N"}
+    assert set(two) == {"raw_wide_N_D", "clr", "clr_wide_N_D"}
+    for name in two:
+        if name != "clr":
+            assert one[name].columns == ["Sample", "T_a", "b"]
+            assert sorted(map(tuple, one[name].collect())) == sorted(map(tuple, two[name].collect()))
+    logs = {r["Sample"]: r["T_a"] for r in two["clr_wide_N_D"].collect()}
+    assert abs(logs["S1"] + 0.20273) < 1e-4 and abs(logs["S2"] + 0.69315) < 1e-4
+
+
+def test_a_cluster_needs_the_shared_folder():
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
