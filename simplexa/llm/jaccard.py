@@ -28,7 +28,7 @@ NAMES = ["slot", "kind", "doc_id", "digest", "node", "size", "handle", "key", "b
 TYPES = [pa.int32(), pa.int32(), *[pa.int64()] * 7, pa.binary()]
 DOCUMENT, SHARED, BUNDLE = 0, 1, 2
 #: Documents and segments that a task holds before it passes them on; members that a trie holds.
-FLUSH_DOCUMENTS, FLUSH_SEGMENTS, TRIE = 60_000, 1_500_000, 256
+FLUSH_DOCUMENTS, FLUSH_SEGMENTS, TRIE = 20_000, 400_000, 256
 #: Sets and n-grams of a block.
 BLOCK_SETS, BLOCK_GRAMS = 512, 1_000_000
 
