@@ -29,6 +29,8 @@ TYPES = [pa.int32(), pa.int32(), *[pa.int64()] * 7, pa.binary()]
 DOCUMENT, SHARED, BUNDLE = 0, 1, 2
 #: Documents and segments that a task holds before it passes them on; members that a trie holds.
 FLUSH_DOCUMENTS, FLUSH_SEGMENTS, TRIE = 20_000, 400_000, 256
+#: Levels of segments before single n-grams.
+LEVELS = 8
 #: Sets and n-grams of a block.
 BLOCK_SETS, BLOCK_GRAMS = 512, 1_000_000
 
@@ -96,13 +98,13 @@ def segments(grams: np.ndarray, bands: Bands) -> np.ndarray:
     """Digests of the segments of a set, for its own band as the smaller partner and the band before as the larger.
 
     An empty segment says nothing and has no digest.  Where more than `differ` segments of a level hold something, one
-    of these is the same in any partner; else the set is told at the next level too.  Partners meet at the lower of
-    their last levels, where one of them has that many.
+    of these is the same in any partner; else the set is told at the next level too, and last by its n-grams alone.
+    Partners meet at the lower of their last levels, where one of them has that many.
     """
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ np.uint64(0x5BF0)))])
     upper, own, out = grams >> np.uint64(32), bands.of(len(grams)), []
     for g in (own, own - 1) if own else (own,):
-        for level in range(1 << 11):
+        for level in range(LEVELS):
             limits = bands.limits(g, level)
             at = np.searchsorted(upper, limits)
             at[-1] = len(grams)
@@ -112,7 +114,7 @@ def segments(grams: np.ndarray, bands: Bands) -> np.ndarray:
             if len(held) > bands.differ(g):
                 break
         else:
-            raise RuntimeError("a set whose hashes fall on too few segments")
+            out.append(mix(grams ^ mix(np.array([(LEVELS << 52) + (g << 40)], np.uint64))))
     return np.concatenate(out)
 
 
