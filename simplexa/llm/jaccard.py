@@ -197,18 +197,21 @@ def met(batches):
             body = batch.column("body")[i].as_py()
             n = len(body) // 10
             keys.append(np.frombuffer(body, np.uint64, n))
-            owners.append(np.frombuffer(body, np.uint16, n, 8 * n) + np.int64(batch.column("base")[i].as_py()))
+            owners.append((np.frombuffer(body, np.uint16, n, 8 * n), np.int64(batch.column("base")[i].as_py())))
     if not keys:
         return
-    key, owner = np.concatenate(keys), np.concatenate(owners)
-    del keys, owners
-    order = np.argsort(key, kind="stable")
-    key, owner = key[order], owner[order]
-    same = np.zeros(len(key), bool)
-    same[1:] = key[1:] == key[:-1]
-    same[:-1] |= same[1:]
-    at = np.flatnonzero(same)
-    yield from shared_rows(np.zeros(len(at)), key[at], owner[at])
+    # A part of the keys at a time: by their highest bits, as their lowest chose the slot.
+    for part in range(16):
+        mine = [k >> np.uint64(60) == np.uint64(part) for k in keys]
+        key = np.concatenate([k[m] for k, m in zip(keys, mine)])
+        owner = np.concatenate([o[m] + base for (o, base), m in zip(owners, mine)])
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], owner[order]
+        same = np.zeros(len(key), bool)
+        same[1:] = key[1:] == key[:-1]
+        same[:-1] |= same[1:]
+        at = np.flatnonzero(same)
+        yield from shared_rows(np.zeros(len(at)), key[at], owner[at])
 
 
 def checked_sets(k: int):

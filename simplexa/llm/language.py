@@ -125,21 +125,24 @@ def bundled(dimensions: int, flush: int = 50_000):
             part = memory(dimensions).bundle(np.array([k for k, _ in held]), np.array([w for _, w in held]))
             sums[lang] = sums.get(lang, 0) + part
 
+        def add(lang: str, found: list) -> None:
+            keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+            mine = shares.setdefault(lang, {})
+            for k, w in zip(keys.tolist(), np.bincount(at, np.concatenate([w for _, w in found])).tolist()):
+                mine[k] = mine.get(k, 0.0) + w
+            if len(mine) > flush:
+                pour(lang)
+
         for batch in batches:
             pending: dict[str, list] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                keys, counts = grams(text or "")
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                keys, counts = grams(text.as_py() or "")
                 if len(keys):
                     pending.setdefault(lang, []).append((keys, counts / counts.sum()))
+                    if len(pending[lang]) == 64:
+                        add(lang, pending.pop(lang))
             for lang, found in pending.items():
-                for i in range(0, len(found), 64):
-                    keys, at = np.unique(np.concatenate([k for k, _ in found[i : i + 64]]), return_inverse=True)
-                    added = np.bincount(at, np.concatenate([w for _, w in found[i : i + 64]]))
-                    mine = shares.setdefault(lang, {})
-                    for k, w in zip(keys.tolist(), added.tolist()):
-                        mine[k] = mine.get(k, 0.0) + w
-                    if len(mine) > flush:
-                        pour(lang)
+                add(lang, found)
         for lang in list(shares):
             pour(lang)
         for lang, total in sums.items():
@@ -218,8 +221,8 @@ def recognised(names: list[str], units: np.ndarray, dimensions: int, least: floa
     def run(batches):
         for batch in batches:
             keep = []
-            for text in batch.column("text").to_pylist():
-                keys, counts = grams(text or "")
+            for text in batch.column("text"):
+                keys, counts = grams(text.as_py() or "")
                 if not len(keys):
                     keep.append(False)
                     continue
