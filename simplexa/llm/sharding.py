@@ -15,28 +15,28 @@ BLOCK = 33  # monotonically_increasing_id: partition above this bit, row in part
 
 
 def near_median(rows: DataFrame, order: list[str]) -> DataFrame:
-    """(node, cut): the last row, as a struct of the `order` columns, that goes left in each node.
+    """(_node, _cut): the last row, as a struct of the `order` columns, that goes left in each node.
 
     Rows are sorted over all partitions and stored; one sum for each node and block, accumulated, tells in which block
     half of the node's bytes is reached, and only that block's rows are summed up one by one.
     """
     spark = rows.sparkSession
-    dealt = rows.repartitionByRange(2 * slots(spark), "node", *order).sortWithinPartitions("node", *order)
+    dealt = rows.repartitionByRange(2 * slots(spark), "_node", *order).sortWithinPartitions("_node", *order)
     sorted_rows = kept(dealt.withColumn("_at", F.monotonically_increasing_id()), "kd-order").withColumn(
         "_block", F.shiftright("_at", BLOCK))
-    sums = sorted_rows.groupBy("node", "_block").agg(F.sum("weight").alias("own"))
+    sums = sorted_rows.groupBy("_node", "_block").agg(F.sum("_weight").alias("own"))
     # At most one row for each node and block: as many as partitions and nodes.
-    before = W.partitionBy("node").orderBy("_block")
+    before = W.partitionBy("_node").orderBy("_block")
     placed = sums.select(
-        "node", "_block", "own", F.sum("own").over(before).alias("upto"),
-        F.sum("own").over(W.partitionBy("node")).alias("total"))
+        "_node", "_block", "own", F.sum("own").over(before).alias("upto"),
+        F.sum("own").over(W.partitionBy("_node")).alias("total"))
     hit = placed.where((F.col("upto") * 2 >= F.col("total")) & ((F.col("upto") - F.col("own")) * 2 < F.col("total")))
-    inside = sorted_rows.join(F.broadcast(hit), ["node", "_block"])  # one row for each node
-    running = F.sum("weight").over(W.partitionBy("node", "_block").orderBy("_at"))
+    inside = sorted_rows.join(F.broadcast(hit), ["_node", "_block"])  # one row for each node
+    running = F.sum("_weight").over(W.partitionBy("_node", "_block").orderBy("_at"))
     gap = F.abs((F.col("upto") - F.col("own") + running) * 2 - F.col("total"))
     # The split nearest to half of the bytes is just before or just after the row that crosses it.
-    return inside.withColumn("_gap", gap).groupBy("node").agg(
-        F.min_by(F.struct(*order), F.struct("_gap", "_at")).alias("cut"))
+    return inside.withColumn("_gap", gap).groupBy("_node").agg(
+        F.min_by(F.struct(*order), F.struct("_gap", "_at")).alias("_cut"))
 
 
 def kd_shards(documents: DataFrame, dimensions: list[Column], weight: Column, leaf_bytes: int | None = None,
@@ -50,12 +50,12 @@ def kd_shards(documents: DataFrame, dimensions: list[Column], weight: Column, le
     an empty table gives an empty one; other columns stay unless named shard, slot or with a leading underscore.
     """
     names = [f"_d{i}" for i in range(len(dimensions))]
-    stay = [c for c in documents.columns if c not in ("shard", "slot")]
+    stay = [c for c in documents.columns if c not in ("shard", "slot") and not c.startswith("_")]
     rows = documents.select(
-        *stay, *(d.cast("double").alias(n) for d, n in zip(dimensions, names)), weight.cast("long").alias("weight"))
+        *stay, *(d.cast("double").alias(n) for d, n in zip(dimensions, names)), weight.cast("long").alias("_weight"))
     rows = rows.withColumn("_tie", F.monotonically_increasing_id())
-    rows = kept(rows.withColumn("node", F.lit(1).cast("long")), "kd-rows")
-    whole = rows.agg(F.sum("weight"), *(F.min(n) for n in names), *(F.max(n) for n in names)).first()
+    rows = kept(rows.withColumn("_node", F.lit(1).cast("long")), "kd-rows")
+    whole = rows.agg(F.sum("_weight"), *(F.min(n) for n in names), *(F.max(n) for n in names)).first()
     total, k = whole[0] or 0, len(names)
     spans = [((whole[1 + k + i] or 0.0) - (whole[1 + i] or 0.0)) or 1.0 for i in range(k)]
     depth = math.ceil(math.log2(leaves)) if leaves else max(0, math.ceil(math.log2(max(1, total / leaf_bytes))))
@@ -63,19 +63,19 @@ def kd_shards(documents: DataFrame, dimensions: list[Column], weight: Column, le
         widths = [((F.max(n) - F.min(n)) / F.lit(s)) for n, s in zip(names, spans)]
         widest = F.array_max(F.array(*(F.struct(F.coalesce(w, F.lit(0.0)).alias("wide"), F.lit(-i).alias("first")) for i, w in enumerate(widths))))
         # As many rows as nodes, which are fewer than leaves.
-        nodes = rows.groupBy("node").agg((-widest["first"]).alias("along"))
-        rows = rows.join(F.broadcast(nodes), "node") if depth <= 12 else rows.join(nodes, "node")
-        value = reduce(lambda a, i: F.when(F.col("along") == i, F.col(names[i])).otherwise(a), range(k),
+        nodes = rows.groupBy("_node").agg((-widest["first"]).alias("_along"))
+        rows = rows.join(F.broadcast(nodes), "_node") if depth <= 12 else rows.join(nodes, "_node")
+        value = reduce(lambda a, i: F.when(F.col("_along") == i, F.col(names[i])).otherwise(a), range(k),
                        F.lit(None).cast("double"))
         rows = rows.withColumn("_value", value)
         order = ["_value", "doc_id", "_tie"]
-        cuts = near_median(rows.select("node", *order, "weight"), order)
-        rows = rows.join(F.broadcast(cuts) if depth <= 12 else cuts, "node", "left")
-        right = F.struct(*order) > F.col("cut")
+        cuts = near_median(rows.select("_node", *order, "_weight"), order)
+        rows = rows.join(F.broadcast(cuts) if depth <= 12 else cuts, "_node", "left")
+        right = F.struct(*order) > F.col("_cut")
         rows = kept(
-            rows.withColumn("node", F.col("node") * 2 + F.coalesce(right, F.lit(False)).cast("long"))
-            .drop("along", "cut", "_value"), "kd-level")
-    rows = rows.withColumn("shard", (F.col("node") - F.lit(1 << depth)).cast("int"))
+            rows.withColumn("_node", F.col("_node") * 2 + F.coalesce(right, F.lit(False)).cast("long"))
+            .drop("_along", "_cut", "_value"), "kd-level")
+    rows = rows.withColumn("shard", (F.col("_node") - F.lit(1 << depth)).cast("int"))
     return numbered(rows.select(*stay, "shard", "_tie"), ["shard"], ["doc_id", "_tie"]).drop("_tie")
 
 
