@@ -19,7 +19,10 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sample_run(spark):
-    """Counts of six samples in two treatments, and their metadata."""
+    """Counts of six samples in two treatments, and their metadata.
+
+    Fixed values: the pinned results of the tests belong to them.
+    """
     counts = {
         "S1": [10, 0, 5, 20, 0], "S2": [12, 1, 6, 19, 0], "S3": [11, 0, 5, 21, 1],
         "S4": [0, 20, 1, 5, 10], "S5": [1, 22, 0, 4, 12], "S6": [0, 19, 2, 6, 11],

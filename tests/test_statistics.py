@@ -193,3 +193,21 @@ def test_sparse_pearson_equals_dense(spark):
     assert mapping(one, "Feature", "n") == mapping(two, "Feature", "n")
     assert mapping(one, "Feature", "correlation") == pytest.approx(mapping(two, "Feature", "correlation"))
     assert mapping(one, "Feature", "p_value") == pytest.approx(mapping(two, "Feature", "p_value"))
+
+
+def test_thousands_of_cut_points(spark):
+    """Slices of a few rows of one key, found by halving, and beyond the bound on cut points larger ones."""
+    n = 6000
+    t = spark.range(n).select(F.lit("k").alias("k"), ((F.col("id") * 7919) % n).alias("v"))
+    got = mapping(ordered.midranks(t, ["k"], "v", slice_rows=3), ["k", "v"], "midrank")
+    assert got == {("k", v): v + 1 for v in range(n)}
+    assert ordered.slice_by_order(t, ["k"], "v", 3).rows.select("_slice").distinct().count() > 1000
+
+
+def test_more_cut_points_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MOST_CUTS", 20)
+    t = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    slices = ordered.slice_by_order(t, ["k"], "v", 3)
+    assert 4 < slices.rows.select("k", "_slice").distinct().count() < 100
+    numbered = ordered.positions(t, ["k"], ["v"], slice_rows=3)
+    assert all(r["position"] == r["v"] // 2 + 1 for r in numbered.collect())
