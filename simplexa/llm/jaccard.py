@@ -32,7 +32,7 @@ FLUSH_DOCUMENTS, FLUSH_SEGMENTS, TRIE = 20_000, 400_000, 256
 #: Levels of segments before single n-grams.
 LEVELS = 8
 #: Sets and n-grams of a block.
-BLOCK_SETS, BLOCK_GRAMS = 512, 1_000_000
+BLOCK_SETS, BLOCK_GRAMS = 1536, 3_000_000
 
 
 class Bands:
