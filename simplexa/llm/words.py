@@ -12,7 +12,7 @@ import types
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def worker_state() -> dict:
