@@ -19,7 +19,7 @@ from simplexa.functions.tails import (
     t_two_sided,
 )
 from simplexa.names import FEATURE, SAMPLE, VALUE
-from simplexa.operators.composition import SparseClr
+from simplexa.operators.composition import SparseClr, dense
 from simplexa.operators.joins import join_metadata
 from simplexa.operators.ordered import (
     SLICE_ROWS,
@@ -34,6 +34,8 @@ from simplexa.sources.shared import stored
 # Fixed value: at or below this group size untied data get the exact p-value.
 EXACT_GROUP_SIZE = 8
 SIGNIFICANT = 0.05
+# Up to this share of stored cells ranks come from the cells alone; above, the grid has fewer rows than the lookups.
+SPARSE_SHARE = 0.1
 
 
 def grouped_values(
@@ -64,6 +66,20 @@ def rank_sums(
     )
 
 
+def _cheaper_form(table: DataFrame | SparseClr, extra: list[str]) -> DataFrame | SparseClr:
+    """A sparse table whose cells are mostly stored as a long one, with ``extra`` columns of its baselines.
+
+    Both forms give the same ranks; counting the cells decides.
+    """
+    if not isinstance(table, SparseClr):
+        return table
+    grid = table.baseline.count() * table.features.count()
+    if table.cells.count() <= SPARSE_SHARE * grid:
+        return table
+    long = dense(table._replace(baseline=table.baseline.select(SAMPLE, "baseline")))
+    return long.join(table.baseline.select(SAMPLE, *extra), SAMPLE) if extra else long
+
+
 def _sparse_sums(grouped: SparseClr, group: str, slice_rows: int) -> DataFrame:
     """The features' corrections, each with all groups (key, n, base) as an array."""
     weights = grouped.baseline.select(SAMPLE, F.col(group).cast("string").alias("key"), F.lit(1.0).alias("a"))
@@ -80,6 +96,7 @@ def kruskal_wallis(
 
     Fewer than two groups, or a constant feature, gives NaN.
     """
+    grouped = _cheaper_form(grouped, [group])
     if isinstance(grouped, SparseClr):
         feature = FEATURE
         features, groups = _sparse_sums(grouped, group, slice_rows), F.col("_groups")
@@ -162,6 +179,7 @@ def mann_whitney(
     otherwise normal with tie and continuity correction.  A feature without
     rows in one group gives NaN.
     """
+    grouped = _cheaper_form(grouped, [group])
     every = _pair_sums(grouped, group, group_1, group_2, feature, value, slice_rows)
     n1, n2 = F.col("n1"), F.col("n2")
     n, pairs, both = n1 + n2, n1 * n2, (n1 > 0) & (n2 > 0)
@@ -398,6 +416,7 @@ def spearman(
     so a heavily tied value meets one rank row.  A sparse CLR is ranked from its
     stored cells.
     """
+    long = _cheaper_form(long, [])
     if isinstance(long, SparseClr):
         return _correlation_result(_sparse_ranked(long, metadata, attribute, sample, slice_rows), FEATURE)
     pairs = _attribute_pairs(long, metadata, attribute, sample, feature, value)

@@ -12,6 +12,11 @@ from simplexa.operators import hypothesis as H
 from tests.helpers import mapping
 
 
+@pytest.fixture(autouse=True)
+def always_sparse(monkeypatch):
+    monkeypatch.setattr(H, "SPARSE_SHARE", 2.0)
+
+
 @pytest.fixture(scope="module", params=["clr", "tied"])
 def table(spark, request):
     """A CLR, and a table with heavy ties between cells, baselines and cells of other samples."""
