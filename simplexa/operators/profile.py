@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from simplexa.functions.expressions import ieee_divide, round_half_even
 from simplexa.names import SAMPLE, VALUE
 from simplexa.operators.filters import positive
-from simplexa.operators.joins import fanout_join
+from simplexa.operators.joins import fanout_join, not_broadcast
 from simplexa.operators.taxonomy import unclassified
 from simplexa.sources.shared import stored
 
@@ -115,7 +115,7 @@ def taxon_abundance(
     value: str = VALUE, keep_unclassified: bool = False,
 ) -> DataFrame:
     """Positive abundance per (taxon, sample)."""
-    named = positive(counts, value).join(lineage.select(item, level), item)
+    named = positive(counts, value).join(not_broadcast(lineage.select(item, level)), item)
     totals = named.groupBy(level, SAMPLE).agg(F.sum(value).alias(value))
     return unclassified(totals, level, keep_unclassified)
 
@@ -125,7 +125,7 @@ def taxon_copies(
     function: str = FUNCTION, copy_num: str = COPIES,
 ) -> DataFrame:
     """Mean copies per (taxon, function), over the items that have the function."""
-    mapped = positive(copies, copy_num).join(lineage.select(item, level).distinct(), item)
+    mapped = positive(copies, copy_num).join(not_broadcast(lineage.select(item, level).distinct()), item)
     return mapped.groupBy(level, function).agg(F.avg(copy_num).alias(copy_num))
 
 
