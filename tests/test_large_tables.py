@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from registry.roles import Roles
-from simplexa.operators import joins, permanova, profile
+from simplexa.operators import diversity, joins, permanova, profile
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -34,3 +34,25 @@ def test_permuted_labels_are_not_broadcast(spark):
     drawn = permanova.permuted_labels(labels, "g", 30)
     assert "SortMergeJoin [_place" in plan(drawn)
     assert drawn.count() == 31 * 40
+
+
+@pytest.mark.parametrize("metric", ["braycurtis", "jaccard"])
+def test_distances_shuffle_no_pairs(spark, metric):
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 4, (23, 11))
+    long = spark.createDataFrame(
+        [(f"s{i:02d}", f"f{j}", float(v)) for (i, j), v in np.ndenumerate(counts)] + [(None, "f1", 2.0)],
+        "Sample string, FeatureID string, Value double")
+    got = diversity.beta_diversity(long, metric, 5, 4)
+    above = plan(got).split("MapInArrow")[0]
+    assert "Exchange" not in above and "HashAggregate" not in above
+    found = {(r[0], r[1]): r[2] for r in got.collect()}
+    assert len(found) == 23 * 22 // 2
+    for (one, two), distance in found.items():
+        a, b = counts[int(one[1:])], counts[int(two[1:])]
+        if metric == "jaccard":
+            a, b = a > 0, b > 0
+            expected = 1 - (a & b).sum() / (a | b).sum()
+        else:
+            expected = 1 - 2 * np.minimum(a, b).sum() / (a.sum() + b.sum())
+        assert one < two and distance == pytest.approx(expected)
