@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from simplexa.operators.composition import SparseClr, clr, dense
 from simplexa.operators.keys import clean_key, combine_key, split_key
-from simplexa.operators.reshape import features_by_samples, samples_by_features, to_long
+from simplexa.operators.reshape import WideBlocks, to_long, wide_or_blocks
 from simplexa.operators.summary import sorted_nulls_last
 from simplexa.names import FEATURE, SAMPLE, VALUE
 
@@ -43,12 +43,13 @@ def write_by_taxon(df: DataFrame, path: str, taxon: str, order: Sequence[str]) -
 def layouts(
     table: DataFrame, sample: str = SAMPLE, value: str = VALUE, split: bool = False,
     by_feature: bool = False,
-) -> dict[str, DataFrame | SparseClr]:
+) -> dict[str, DataFrame | SparseClr | WideBlocks]:
     """The export layouts of one long table, as lazy tables.
 
     ``raw_long``; ``raw_wide_N_D``; ``clr`` in sparse and ``clr_wide_N_D`` in
     wide form; with ``split`` ``clr_wide_D_N_split``, whose key is cut into
-    level columns; with ``by_feature`` ``raw_wide_D_N``.
+    level columns; with ``by_feature`` ``raw_wide_D_N``.  A wide form of more
+    than 10,000 columns comes as ``WideBlocks``.
     """
     long = combine_key(table, sample, value).select(
         F.col(sample).alias(SAMPLE), FEATURE, F.col(value).alias(VALUE)
@@ -58,7 +59,7 @@ def layouts(
 
 def wide_layouts(
     table: DataFrame, index: str, by_feature: bool, split: bool = False, export_by_feature: bool = False,
-) -> dict[str, DataFrame | SparseClr]:
+) -> dict[str, DataFrame | SparseClr | WideBlocks]:
     """The same layouts, but ``raw_long``, of a wide table whose column ``index`` names its rows: features if
     ``by_feature``, else samples.  A separator in these names becomes an underscore.
     """
@@ -70,16 +71,19 @@ def wide_layouts(
     return _layouts(long.select(SAMPLE, FEATURE, VALUE), split, export_by_feature)
 
 
-def _layouts(long: DataFrame, split: bool, by_feature: bool) -> dict[str, DataFrame | SparseClr]:
+def _layouts(long: DataFrame, split: bool, by_feature: bool) -> dict[str, DataFrame | SparseClr | WideBlocks]:
     sparse = clr(long)
     logs = dense(sparse)
     out = {
-        "raw_wide_N_D": samples_by_features(long),
+        "raw_wide_N_D": wide_or_blocks(long, SAMPLE, FEATURE),
         "clr": sparse,
-        "clr_wide_N_D": samples_by_features(logs),
+        "clr_wide_N_D": wide_or_blocks(logs, SAMPLE, FEATURE),
     }
     if split:
-        out["clr_wide_D_N_split"] = split_key(features_by_samples(logs))
+        wide = wide_or_blocks(logs, FEATURE, SAMPLE)
+        blocks = isinstance(wide, WideBlocks)
+        cut = split_key(wide.rows if blocks else wide)
+        out["clr_wide_D_N_split"] = WideBlocks(cut, wide.columns) if blocks else cut
     if by_feature:
-        out["raw_wide_D_N"] = features_by_samples(long)
+        out["raw_wide_D_N"] = wide_or_blocks(long, FEATURE, SAMPLE)
     return out

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from registry.roles import Roles
-from simplexa.operators import diversity, joins, permanova, profile
+from simplexa.operators import diversity, joins, ordination, permanova, profile, reshape
+from simplexa.plans import composed
+from simplexa.sources import sinks
+from tests.helpers import rows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -56,3 +59,43 @@ def test_distances_shuffle_no_pairs(spark, metric):
         else:
             expected = 1 - 2 * np.minimum(a, b).sum() / (a.sum() + b.sum())
         assert one < two and distance == pytest.approx(expected)
+
+
+def test_wide_tables_beyond_the_limit_of_columns(spark, monkeypatch):
+    long = spark.createDataFrame(
+        [("a|x", "s1", 1.0), ("a|y", "s2", 2.0), ("a|x", "s3", 4.0), ("b|x", "s5", None), ("a|y", "s2", 0.5),
+         ("b|x", "s4", float("nan"))], "FeatureID string, Sample string, Value double")
+    parts = long.selectExpr("split_part(FeatureID, '|', 1) t", "split_part(FeatureID, '|', 2) b", "Sample", "Value")
+    functions = spark.createDataFrame(
+        [("ko:K00001", "s1", 2.0), ("ko:K00001", "s2", 3.0), ("ko:K00002", "s3", 1.0)],
+        "KO string, Sample string, Value double")
+    raw = spark.createDataFrame([("x-K00001", "T1"), ("x-K00002", "T2")], "PGPT_ID string, Lv3 string")
+
+    def made():
+        split = sinks.layouts(parts, split=True)["clr_wide_D_N_split"]
+        return (rows(reshape.to_long(split, ["Feature_Level_1", "Feature_Level_2"]).withColumn(
+                    "Value", F.round("Value", 9))),
+                rows(reshape.to_long(composed.trait_table(functions, raw, "Lv3"), "Lv3")),
+                rows(reshape.to_long(reshape.wide_or_blocks(long, "FeatureID", "Sample"), "FeatureID")))
+
+    pivoted = made()
+    monkeypatch.setattr(reshape, "MAX_WIDE_COLUMNS", 2)
+    assert made() == pivoted
+    blocks = reshape.to_wide_blocks(long, "FeatureID", "Sample", block=2)
+    assert rows(reshape.to_long(blocks, "FeatureID")) == pivoted[2]
+
+
+@pytest.mark.parametrize("dimensions", [2, 119])
+def test_pcoa_of_close_and_of_few_eigenvalues(spark, dimensions):
+    n, rng = 120, np.random.default_rng(1)
+    points = rng.normal(size=(n, dimensions))
+    if dimensions > 2:
+        points[:, :dimensions] = np.linalg.qr(points - points.mean(axis=0))[0] * np.linspace(1, 0.999, dimensions)
+    points -= points.mean(axis=0)
+    gap = np.linalg.norm(points[:, None] - points[None], axis=2)
+    edges = spark.createDataFrame(
+        [(f"s{i:03d}", f"s{j:03d}", float(gap[i, j])) for i in range(n) for j in range(i + 1, n)],
+        "sample_i string, sample_j string, distance double")
+    found = np.array([r[1:] for r in ordination.pcoa(edges, 2).orderBy("Sample").collect()])
+    largest = np.sort(np.linalg.eigvalsh(points @ points.T))[::-1][:2]
+    assert (found ** 2).sum(axis=0) == pytest.approx(largest, rel=1e-6)
