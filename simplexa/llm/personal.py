@@ -32,7 +32,6 @@ WIDE = {
 }
 KINDS = (*BASE, *WIDE)
 #: Labelled candidates that the trees are fitted and the threshold is calibrated on.
-SAMPLE_DOCUMENTS, SAMPLE_CANDIDATES = 200_000, 20_000
 TREES, DEPTH, PRECISION, CONTEXT = 12, 3, 0.99, 24
 #: Places of an array that are added up together.
 PART = 512
@@ -216,19 +215,15 @@ class Model:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(margin * -2))
 
 
-def fitted(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample: int = SAMPLE_CANDIDATES) -> Model:
+def fitted(documents: DataFrame) -> Model:
     """Fit on base spans in disguise against the candidates that no base span overlaps.
 
     A base span, rewritten in the ways of DISGUISES, is what the base patterns miss and the trees are there to find;
-    so no label follows from the patterns' own signs.  Documents are picked by the hash of their id and text so that
-    about `sample_documents` at most are looked at, and about `sample` of their candidates are used: three quarters
-    for the trees, a quarter for the threshold, which is the lowest score from which that share of candidates
-    (PRECISION) is personal data.
+    so no label follows from the patterns' own signs.  All documents are looked at and all their candidates used:
+    three quarters for the trees, a quarter for the threshold, which is the lowest score from which that share of
+    candidates (PRECISION) is personal data.
     """
-    rows = documents.count()
-    modulus = max(1, -(-rows // sample_documents))
-    picked = documents.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(modulus)) == 0).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    picked = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     picked = picked.where(F.col("text").rlike("[0-9@]|[\\[(](?:at|AT)[\\])]")).withColumn(
         "base", base_spans(F.col("text")))
     text, base = F.col("text"), F.col("base")
@@ -240,9 +235,7 @@ def fitted(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sampl
     n = found.agg(F.count("*"), F.sum("label")).first()
     if not n[0] or n[1] in (0, n[0]):
         return Model()
-    every = max(1, -(-n[0] // sample))
-    used = found.where(F.pmod(F.shiftright("h", 8), F.lit(every)) == 0)
-    fit, hold = used.where(F.pmod("h", F.lit(4)) > 0), used.where(F.pmod("h", F.lit(4)) == 0)
+    fit, hold = found.where(F.pmod("h", F.lit(4)) > 0), found.where(F.pmod("h", F.lit(4)) == 0)
     if fit.select("label").distinct().count() < 2:
         return Model()
     gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1, checkpointInterval=-1, maxBins=32)
@@ -286,7 +279,7 @@ def personal_data(documents: DataFrame, model: Model | None = None) -> DataFrame
     """One row for each row of documents (doc_id, text): counts by base kind, digest of the base spans, all spans.
 
     A null or empty text has no spans; null ids and repeated rows stay; an empty table gives an empty one; further
-    columns are not looked at.  Without both labels in the sample no spans are added to the base ones.
+    columns are not looked at.  Without both labels among the candidates no spans are added to the base ones.
     """
     docs = documents.select("doc_id", "text")
     rows = spans_in(docs, model or fitted(docs))
