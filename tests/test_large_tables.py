@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from registry.roles import Roles
-from simplexa.operators import diversity, joins, ordination, permanova, profile, reshape
+from simplexa.operators import diversity, joins, ordination, permanova, profile, reshape, selection
 from simplexa.plans import composed
 from simplexa.sources import sinks
 from tests.helpers import rows
@@ -99,3 +99,10 @@ def test_pcoa_of_close_and_of_few_eigenvalues(spark, dimensions):
     found = np.array([r[1:] for r in ordination.pcoa(edges, 2).orderBy("Sample").collect()])
     largest = np.sort(np.linalg.eigvalsh(points @ points.T))[::-1][:2]
     assert (found ** 2).sum(axis=0) == pytest.approx(largest, rel=1e-6)
+
+
+def test_a_forest_of_a_larger_table_uses_all_cores(spark):
+    table = spark.range(4000).selectExpr("cast(id as string) Sample", "0 features", "0 label").coalesce(1)
+    assert selection.for_forest(table, 4000, 100).rdd.getNumPartitions() == 3
+    assert selection.for_forest(table, 4000, 1000).rdd.getNumPartitions() == 4
+    assert selection.for_forest(table, 4000, 10) is table
