@@ -106,3 +106,9 @@ def test_a_forest_of_a_larger_table_uses_all_cores(spark):
     assert selection.for_forest(table, 4000, 100).rdd.getNumPartitions() == 3
     assert selection.for_forest(table, 4000, 1000).rdd.getNumPartitions() == 4
     assert selection.for_forest(table, 4000, 10) is table
+
+
+def test_items_and_counts_are_dealt_before_they_grow(spark):
+    t = Roles(spark, FOLDER)
+    for table in (t.copies(), t.counts()):
+        assert "REPARTITION_BY_NUM" in plan(table)
