@@ -71,15 +71,25 @@ def fingerprint(text: Column, k: int = KMER, rows: int = ROWS, chosen: int = CHO
         return F.filter(p, lambda x, i: (i < chosen) | (row_of(x) != row_of(F.get(p, i - chosen))))
 
     def signature(p: Column) -> Column:
-        def row(r: Column) -> Column:
-            mine = F.filter(p, lambda x: row_of(x) == r)
-            ordered = F.sort_array(F.transform(mine, lambda x: F.shiftleft(
-                x.bitwiseAND(F.lit(PLACES - 1)), 36).bitwiseOR(above(x))))
-            tuple_hash = F.xxhash64(F.transform(ordered, lambda x: x.bitwiseAND(F.lit((1 << 36) - 1))))
-            return F.when(F.size(mine) > 0, F.lower(F.lpad(F.hex(tuple_hash.bitwiseAND(
-                F.lit(0xFFFFFFFF))), 8, "0"))).otherwise(F.lit("-" * 8))
-
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), row), "")
+        """A row's numbers are read where they stand; rows between two that hold something are empty."""
+        n, empty = F.size(p), F.lit("-" * 8)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (row_of(F.get(p, i)) != row_of(F.get(
+            p, i - 1))))
+
+        def rows_of(s: Column) -> Column:
+            def row(begin: Column, at: Column) -> Column:
+                mine = F.slice(p, begin + 1, F.coalesce(F.get(s, at + 1), n) - begin)
+                ordered = F.sort_array(F.transform(mine, lambda x: F.shiftleft(
+                    x.bitwiseAND(F.lit(PLACES - 1)), 36).bitwiseOR(above(x))))
+                tuple_hash = F.xxhash64(F.transform(ordered, lambda x: x.bitwiseAND(F.lit((1 << 36) - 1))))
+                gap = row_of(F.get(p, begin)) - F.coalesce(row_of(F.get(p, begin - 1)), F.lit(-1)) - 1
+                return F.concat(F.repeat(empty, gap.cast("int")), F.lower(F.lpad(F.hex(tuple_hash.bitwiseAND(
+                    F.lit(0xFFFFFFFF))), 8, "0")))
+
+            return F.transform(s, row)
+
+        rest = F.lit(rows - 1) - row_of(F.get(p, n - 1))
+        return F.concat(F.array_join(let(starts, rows_of), ""), F.repeat(empty, rest.cast("int")))
 
     made = let(words, lambda w: let(sorted_kmers(w), lambda p: F.when(p.isNotNull(), let(numbered(p), lambda q: let(
         least(q), signature)))))
@@ -92,13 +102,18 @@ def likeness(a: Column, b: Column, rows: int = ROWS, chosen: int = CHOSEN) -> Co
     Rows empty on both sides say nothing.  A row agrees if all of its k-mers do, so the share of agreeing rows, to the
     power 1 / chosen, estimates the overlap of the union; of that the share in both texts' k-mers follows.
     """
-    def part(s: Column, i: Column) -> Column:
-        return F.substring(s, i * 8 + 1, F.lit(8))
-
-    at = F.sequence(F.lit(0), F.lit(rows - 1))
-    empty = F.lit("-" * 8)
-    said = F.size(F.filter(at, lambda i: (part(a, i) != empty) | (part(b, i) != empty)))
-    same = F.size(F.filter(at, lambda i: (part(a, i) == part(b, i)) & (part(a, i) != empty)))
+    # Bytes are cut in place, characters by counting from the first one on.
+    empty = F.lit("-" * 8).cast("binary")
+
+    def cut(s: Column) -> Column:
+        return let(s.cast("binary"), lambda x: F.transform(
+            F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.substring(x, i * 8 + 1, F.lit(8))))
+
+    # 1 where both rows agree, 0 where they differ, null where both are empty.
+    agree = F.filter(F.zip_with(cut(a), cut(b), lambda x, y: F.when(x != y, 0).when(x != empty, 1)), F.isnotnull)
+    counts = F.transform(F.array(agree), lambda g: F.struct(
+        F.size(g).alias("said"), F.size(F.filter(g, lambda v: v == 1)).alias("same")))
+    said, same = F.get(counts, F.lit(0))["said"], F.get(counts, F.lit(0))["same"]
     j = F.pow(same / said, F.lit(1.0 / chosen))
     return F.when(a == b, F.lit(1.0)).when(said == 0, F.lit(0.0)).otherwise(2 * j / (1 + j))
 
