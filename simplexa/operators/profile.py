@@ -49,8 +49,14 @@ def contributions(
     counts: DataFrame, copies: DataFrame, item: str = ITEM, value: str = VALUE,
     function: str = FUNCTION, copy_num: str = COPIES,
 ) -> DataFrame:
-    """Every (item, sample, function) product of abundance and copies."""
-    joined = fanout_join(positive(counts, value), positive(copies, copy_num), item, SAMPLE)
+    """Every (item, sample, function) product of abundance and copies.
+
+    The counts are stored, as the join first looks for hot items in them.  It is
+    dealt by the rows of both sides, so what a task sorts, and then adds up by
+    function and sample, stays bounded.
+    """
+    counts, copies = stored(positive(counts, value), "counts"), positive(copies, copy_num)
+    joined = fanout_join(counts, copies, item, SAMPLE, rows=max(counts.count(), copies.count()))
     return joined.select(
         item, SAMPLE, function, (F.col(value) * F.col(copy_num)).alias("contribution")
     )
@@ -104,7 +110,8 @@ def trait_profile_direct(
     traits instead of items x functions.
     """
     per_trait = trait_copies(copies, trait_map, trait, item, function, copy_num)
-    joined = fanout_join(positive(counts, value), per_trait, item, SAMPLE)
+    counts = stored(positive(counts, value), "counts")
+    joined = fanout_join(counts, per_trait, item, SAMPLE, rows=counts.count())
     return joined.groupBy(trait, SAMPLE).agg(
         F.sum(F.col(value) * F.col(copy_num)).alias(value)
     )
@@ -146,7 +153,7 @@ def stratify(
         .agg(F.sum(copy_num).alias(copy_num))
     )
     abundance = stored(abundance, "taxon-abundance")
-    joined = fanout_join(abundance, per_trait, level, SAMPLE, null_safe=True)
+    joined = fanout_join(abundance, per_trait, level, SAMPLE, null_safe=True, rows=abundance.count())
     return joined.select(level, trait, SAMPLE, (F.col(value) * F.col(copy_num)).alias(value))
 
 

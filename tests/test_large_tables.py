@@ -112,3 +112,29 @@ def test_items_and_counts_are_dealt_before_they_grow(spark):
     t = Roles(spark, FOLDER)
     for table in (t.copies(), t.counts()):
         assert "REPARTITION_BY_NUM" in plan(table)
+
+
+def test_a_profile_is_dealt_by_its_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    counts = [(f"i{i}", f"s{j}", float(v)) for (i, j), v in np.ndenumerate(rng.integers(0, 3, (30, 20)))]
+    copies = [(f"i{i}", f"k{j}", float(v)) for (i, j), v in np.ndenumerate(rng.integers(0, 3, (30, 6)))]
+    counts += [(None, "s1", 5.0), ("i1", "s1", 2.0)]
+    expected = {}
+    for i, s, v in counts:
+        for other, k, c in copies:
+            if i == other and v * c:
+                expected[k, s] = expected.get((k, s), 0) + v * c
+    join = joins.fanout_join
+    monkeypatch.setattr(profile, "fanout_join", lambda *a, **k: join(*a, **{**k, "task_rows": 10}))
+    got = profile.function_profile(
+        spark.createDataFrame(counts, "ASV_ID string, Sample string, Value double"),
+        spark.createDataFrame(copies, "ASV_ID string, KO string, copy_num double"))
+    tasks = -(-sum(v > 0 for *_, v in counts) // 10)
+    assert plan(got).count(f", {tasks}), REPARTITION_BY_NUM") == 2
+    assert {(r[0], r[1]): r[2] for r in got.collect()} == expected
+
+
+def test_counts_are_dealt_by_their_rows(spark):
+    table = spark.range(10)
+    assert joins.spread_out(table, "id", rows=10, task_rows=1).rdd.getNumPartitions() == 10
+    assert joins.spread_out(table, "id", rows=10, task_rows=9).rdd.getNumPartitions() == 4
