@@ -31,7 +31,7 @@ from simplexa.llm.store import discard, kept, slots
 from simplexa.llm.words import mix
 
 #: Bytes of a block of texts in memory, and of texts whose counts are one slot's.
-BLOCK_BYTES, SLOT_BYTES = 6 << 20, 8 << 20
+BLOCK_BYTES, SLOT_BYTES = 3 << 20, 4 << 20
 #: Bits of a filter, at least and at most (16 MB), and its hash functions.
 LEAST_BITS, MOST_BITS, HASHES = 1 << 20, 1 << 27, 4
 SLICE = 1 << 20
@@ -103,14 +103,14 @@ class Block:
         listed = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
         return (listed.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-                np.cumsum(breaks, dtype=np.int32)[starts] if len(starts) else starts, listed.dictionary.to_pylist())
+                np.searchsorted(np.flatnonzero(breaks), starts).astype(np.int32), listed.dictionary.to_pylist())
 
 
 def grouped(x: np.ndarray):
     """Order of the numbers, where each different one begins in it, and the place of every number among these."""
     order = np.argsort(x)
-    new = np.ones(len(x), bool)
-    new[1:] = x[order[1:]] != x[order[:-1]]
+    new, ordered = np.ones(len(x), bool), x[order]
+    new[1:] = ordered[1:] != ordered[:-1]
     inverse = np.empty(len(x), np.int64)
     inverse[order] = np.cumsum(new) - 1
     return order, np.flatnonzero(new), inverse

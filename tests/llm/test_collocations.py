@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -169,3 +171,22 @@ def test_long_texts_are_cut_between_words():
         assert b"".join(collocations.slices(text, size)) == text
         parts = [p.replace(b".", b" . ").split() for p in collocations.slices(text, size)]
         assert sum(parts, []) == text.replace(b".", b" . ").split()
+
+
+def test_a_block_of_texts_takes_little_memory():
+    """The arrays that counting holds at once were 201 MB here, and are 110 MB."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.5, 200_000) % 50_000) + "." for _ in range(10)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 10), pa.array(texts)], names=["lang", "text"])
+    size = 1 << 20
+    full = [collocations.Filter(size, 4, k) for k in (1, 2)]
+    for each in full:
+        each.bits[:] = 255
+    known = collocations.Known(full, [None, None])
+    tracemalloc.start()
+    found = sum(np.frombuffer(b["f"][i].as_py(), np.int64).sum() for b in collocations.counted(3, known, True, 8, 0)(
+        iter([batch])) for i, k in enumerate(b["words"].to_pylist()) if k == 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sum(max(0, len(t.split()) - 2) for t in texts)
+    assert peak < 150e6
