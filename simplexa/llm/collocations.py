@@ -10,7 +10,8 @@ So a phrase that passes them in one step does so in all later ones; it is active
 filter lets pass wrongly is counted in vain, but as exactly as all else.
 
 Words have 64-bit codes, verified to differ by the words themselves; a phrase is the codes of its words.  Counts are
-shuffled as arrays by slot, a hash of the phrase.
+shuffled as arrays by slot, a hash of the phrase.  A bundle of counts is cut to a bounded number of slots; where there
+are more, these are parts of them, to which the sums of each are dealt on.  So the rows grow with the bundles alone.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from simplexa.llm.words import mix
 
 #: Bytes of a block of texts in memory, and of texts whose counts are one slot's.
 BLOCK_BYTES, SLOT_BYTES = 3 << 20, 4 << 20
+#: Bytes of counts that a task gathers to a bundle, and slots to which it is dealt at most.
+BUNDLE_BYTES, FAN = 8 << 20, 256
 #: Bits of a filter, at least and at most (16 MB), and its hash functions.
 LEAST_BITS, MOST_BITS, HASHES = 1 << 20, 1 << 27, 4
 SLICE = 1 << 20
@@ -40,6 +43,9 @@ SLICE = 1 << 20
 COUNTS = "slot int, lang string, words int, keys binary, f binary, first binary, texts binary"
 TYPES = [pa.int32(), pa.string(), pa.int32(), *[pa.binary()] * 4]
 NAMES = ["slot", "lang", "words", "keys", "f", "first", "texts"]
+#: All COUNTS of a slot in a bundle.
+BUNDLES = f"slot int, counts array<struct<{COUNTS.partition(', ')[2]}>>"
+HELD = pa.struct(list(zip(NAMES[1:], TYPES[1:])))
 SPACE, BREAK = ord(" "), ord(".")
 GAP = re.compile(rb"[ .]")
 CLASH = "two words have one code"
@@ -83,6 +89,55 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], names=NAMES)
 
 
+def fans(slots_: int) -> list[int]:
+    """Numbers of slots, to which counts are dealt one after another: each a multiple of the one before by FAN at most,
+    and the last no less than `slots_`."""
+    levels = 1
+    while FAN**levels < slots_:
+        levels += 1
+    fan = min(FAN, math.ceil(slots_ ** (1 / levels)))
+    return [fan**i for i in range(1, levels + 1)]
+
+
+def dealt_counts(lang: str, k: int, keys: np.ndarray, f: np.ndarray, texts: list[bytes] | None, slots_: int):
+    """Rows of COUNTS, one for each slot; the number of all words is in the first."""
+    if not k:
+        yield 0, lang, 0, b"", f.astype(np.int64).tobytes(), None, None
+        return
+    slot = (joined(keys) % np.uint64(slots_)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    held, starts = np.unique(slot[order], return_index=True)
+    for s, own in zip(held.tolist(), np.split(order, starts[1:])):
+        yield (s, lang, k, keys[own].tobytes(), f[own].astype(np.int64).tobytes(), None,
+               b"\n".join([texts[i] for i in own.tolist()]) if texts else None)
+
+
+def bundle_rows(held: dict[int, list[dict]]):
+    """BUNDLES of the COUNTS of each slot, some slots a batch."""
+    slots_ = sorted(held)
+    for i in range(0, len(slots_), 32):
+        own = slots_[i : i + 32]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(own, pa.int32()), pa.array([held[s] for s in own], pa.list_(HELD))], names=["slot", "counts"])
+
+
+def bundled(run, size: int = BUNDLE_BYTES):
+    """Task function: the COUNTS of another one as BUNDLES."""
+
+    def whole(batches):
+        held, total = defaultdict(list), 0
+        for batch in run(batches):
+            for row in batch.to_pylist():
+                held[row.pop("slot")].append(row)
+                total += len(row["keys"]) + len(row["f"]) + len(row["texts"] or b"")
+            if total >= size:
+                yield from bundle_rows(held)
+                held, total = defaultdict(list), 0
+        yield from bundle_rows(held)
+
+    return whole
+
+
 class Block:
     """Translated texts of one language.  It may go on with a document that the block before has begun, and then holds
     the words before the cut once more, which are not counted again."""
@@ -173,16 +228,8 @@ def counted(longest: int, known: Known, first_cycle: bool, slots_: int, seed: in
     def told(lang: str, block: Block):
         rows = []
         for k, keys, n, texts in phrases(block):
-            if not k:
-                rows.append((0, lang, 0, b"", n.astype(np.int64).tobytes(), None, None))
-                continue
-            slot = (joined(keys) % np.uint64(slots_)).astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            ends = np.searchsorted(slot[order], np.arange(slots_ + 1))
-            for s in np.flatnonzero(np.diff(ends)).tolist():
-                own = order[ends[s] : ends[s + 1]]
-                rows.append((s, lang, k, keys[own].tobytes(), n[own].astype(np.int64).tobytes(), None,
-                             b"\n".join([texts[i] for i in own.tolist()]) if texts else None))
+            for row in dealt_counts(lang, k, keys, n, texts, slots_):
+                rows.append(row)
                 if len(rows) == 256:
                     yield batch_of(rows)
                     rows = []
@@ -231,42 +278,61 @@ def summed(keys: np.ndarray, f: np.ndarray, first: np.ndarray, texts: list[bytes
     return keys[order[at]], np.add.reduceat(f[order], at), np.minimum.reduceat(first[order], at), texts
 
 
+def sums(bundles: pa.Table, step: int):
+    """(lang, words, keys, f, first, texts) of the BUNDLES of a slot, each phrase once; `step` is the first step of
+    what has none."""
+    table = pa.Table.from_batches([pa.RecordBatch.from_struct_array(x.flatten()) for x in bundles.column("counts").chunks])
+    parts = defaultdict(list)
+    for i, key in enumerate(zip(table.column("lang").to_pylist(), table.column("words").to_pylist())):
+        parts[key].append(i)
+
+    def arrays(column: str, kind, rows: list[int]):
+        """Without a copy of the table's bytes; None where there is nothing."""
+        found = (table.column(column)[i] for i in rows)
+        return [np.frombuffer(x.as_buffer(), kind) if x.is_valid else None for x in found]
+
+    for lang, k in sorted(parts):
+        rows = parts[lang, k]
+        each = arrays("f", np.int64, rows)
+        f = np.concatenate(each)
+        if not k:
+            yield lang, 0, np.zeros((1, 0), np.uint64), np.array([f.sum()]), np.ones(1, np.int32), None
+            continue
+        keys = np.concatenate(arrays("keys", np.uint64, rows)).reshape(-1, k)
+        first = np.concatenate([
+            np.full(len(n), step, np.int32) if x is None else x for x, n in zip(arrays("first", np.int32, rows), each)])
+        texts = None
+        if k == 1:
+            texts = [w for i in rows for w in table.column("texts")[i].as_py().split(b"\n")]
+        yield lang, k, *summed(keys, f, first, texts)
+
+
+def dealt_on(slots_: int):
+    """Group function over BUNDLES of a step and one slot: their sums as BUNDLES of more slots."""
+
+    def run(table: pa.Table) -> pa.Table:
+        held = defaultdict(list)
+        for lang, k, keys, f, _, texts in sums(table, 0):
+            for slot, *row in dealt_counts(lang, k, keys, f, texts, slots_):
+                held[slot].append(dict(zip(NAMES[1:], row)))
+        return pa.Table.from_batches(bundle_rows(held))
+
+    return run
+
+
 def folded(step: int, threshold: int, shards: int):
-    """Group function over the COUNTS of a slot, those before a step and those of it: the COUNTS after it, without
+    """Group function over the BUNDLES of a slot, those before a step and those of it: the COUNTS after it, without
     the phrases that had their cycle and stayed below the threshold."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts, out = defaultdict(list), []
-        for i, key in enumerate(zip(table.column("lang").to_pylist(), table.column("words").to_pylist())):
-            parts[key].append(i)
-        slot = table.column("slot")[0].as_py()
-
-        def arrays(column: str, kind, rows: list[int]):
-            """Without a copy of the table's bytes; None where there is nothing."""
-            found = (table.column(column)[i] for i in rows)
-            return [np.frombuffer(x.as_buffer(), kind) if x.is_valid else None for x in found]
-
-        for lang, k in sorted(parts):
-            rows = parts[lang, k]
-            each = arrays("f", np.int64, rows)
-            f = np.concatenate(each)
-            if not k:
-                out.append((slot, lang, 0, b"", np.array([f.sum()]).tobytes(), np.ones(1, np.int32).tobytes(), None))
-                continue
-            keys = np.concatenate(arrays("keys", np.uint64, rows)).reshape(-1, k)
-            first = np.concatenate([
-                np.full(len(n), step, np.int32) if x is None else x
-                for x, n in zip(arrays("first", np.int32, rows), each)])
-            texts = None
-            if k == 1:
-                texts = [w for i in rows for w in table.column("texts")[i].as_py().split(b"\n")]
-            keys, f, first, texts = summed(keys, f, first, texts)
-            stay = np.flatnonzero((f >= threshold) | (first + shards - 1 > step))
+        out, slot = [], table.column("slot")[0].as_py()
+        for lang, k, keys, f, first, texts in sums(table, step):
+            stay = np.flatnonzero((f >= threshold) | (first + shards - 1 > step)) if k else np.zeros(1, np.int64)
             if len(stay):
                 out.append((slot, lang, k, keys[stay].tobytes(), f[stay].tobytes(), first[stay].tobytes(),
                             b"\n".join([texts[i] for i in stay.tolist()]) if k == 1 else None))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), TYPES)], names=NAMES) if out else (
-            table.schema.empty_table())
+            pa.schema(list(zip(NAMES, TYPES))).empty_table())
 
     return run
 
@@ -313,8 +379,19 @@ def unpacked(threshold: int):
 PHRASES = "lang string, words int, key array<bigint>, f long, word string"
 
 
+def slot_bundles(rows: DataFrame, run, counts: list[int]) -> DataFrame:
+    """BUNDLES of what `run` counts in the rows, for as many slots as `counts` says last.  Until then, the bundles of a
+    slot are added up in as many parts as it has slots in the end, so that a part is no more than one of these."""
+    out = rows.mapInArrow(bundled(run), BUNDLES)
+    for now, more in zip(counts, counts[1:]):
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(counts[-1] // now))
+        out = out.withColumn("_part", part).groupBy("slot", "_part").applyInArrow(dealt_on(more), BUNDLES)
+    return out
+
+
 def _frequent(dealt: DataFrame, longest: int, threshold: int, shards: int, n: int, size: int, seed: int) -> DataFrame:
     """The steps of one choice of codes: PHRASES, stored."""
+    counts, held = fans(n), F.array(F.struct(*NAMES[1:])).alias("counts")
     nothing = [Filter(size, HASHES, k) for k in range(1, longest)]
     filters = [nothing]  # before each step
     state, step, last = None, 0, shards
@@ -322,10 +399,11 @@ def _frequent(dealt: DataFrame, longest: int, threshold: int, shards: int, n: in
         step += 1
         known = Known(*([each if each.bits.any() else None for each in filters[max(0, i)]] for i in (
             step - 1, step - 1 - shards)))
-        seen = dealt.where(F.col("shard") == (step - 1) % shards).select("lang", "text").mapInArrow(
-            counted(longest, known, step <= shards, n, seed), COUNTS)
-        now = kept((seen if state is None else seen.unionByName(state)).groupBy("slot").applyInArrow(
-            folded(step, threshold, shards), COUNTS), "phrases")
+        seen = slot_bundles(dealt.where(F.col("shard") == (step - 1) % shards).select("lang", "text"), counted(
+            longest, known, step <= shards, counts[0], seed), counts)
+        if state is not None:
+            seen = seen.unionByName(state.select("slot", held))
+        now = kept(seen.groupBy("slot").applyInArrow(folded(step, threshold, shards), COUNTS), "phrases")
         if state is not None:
             discard(state)
         state = now

@@ -190,3 +190,36 @@ def test_a_block_of_texts_takes_little_memory():
     tracemalloc.stop()
     assert found == sum(max(0, len(t.split()) - 2) for t in texts)
     assert peak < 150e6
+
+
+def test_slots_are_dealt_by_levels(spark, monkeypatch):
+    """With more slots than a bundle is dealt to, sums are dealt on: once, or several times."""
+    rows = random_rows(9, 150)
+    table = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    for fan, counts in ((8, [8, 64]), (4, [4, 16, 64])):
+        monkeypatch.setattr(collocations, "FAN", fan)
+        monkeypatch.setattr(collocations, "SLOT_BYTES", sum(len((t or "").encode()) for _, t in rows) // 60)
+        assert collocations.fans(60) == counts
+        assert found(collocations.frequent_phrases(table, 3, 5, 2)) == wanted(rows, 3, 5)
+
+
+def test_rows_of_counts_grow_with_the_texts(monkeypatch):
+    """Eight times the texts, and with them eight times the slots, made 64 times the rows."""
+    monkeypatch.setattr(collocations, "FAN", 16)
+    rng, full = np.random.default_rng(5), [collocations.Filter(1 << 15, 4, k) for k in (1, 2)]
+    for each in full:
+        each.bits[:] = 255
+    known, made, sums = collocations.Known(full, [None, None]), [], []
+    for times in (1, 8):
+        texts = [" ".join(f"w{w}" for w in rng.integers(0, 400, 2000)) for _ in range(8 * times)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(["en", "de"] * (4 * times)), pa.array(texts)], names=["lang", "text"])
+        counts = collocations.fans(16 * times)
+        run = collocations.bundled(collocations.counted(3, known, True, counts[0], 0, 10_000), 100_000)
+        bundles = pa.Table.from_batches(run(iter([batch])))
+        held = pa.chunked_array([x.flatten().field("f") for x in bundles.column("counts").chunks])
+        made.append(len(bundles))
+        sums.append(sum(np.frombuffer(f, np.int64).sum() for f in held.to_pylist()))
+        assert sums[-1] == sum(2000 + 2000 + 1999 + 1998 for _ in texts)
+    assert made[1] <= 12 * made[0]
+    assert max(collocations.fans(n)[0] for n in range(1, 5000)) <= 16
