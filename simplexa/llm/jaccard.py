@@ -3,8 +3,9 @@
 All n-grams have one order, that of their hashes, and a set is the sorted array of its hashes.  Cut at fixed places of
 the hash range, the array is a path of segments.  Two sets over the threshold differ in few n-grams, so of one segment
 more than that number at least one is the same in both: those that share a segment at the same place are the only
-candidates.  Candidates are then joined in tries: sorted arrays share the work on their common beginnings, and a
-subtree ends as soon as the n-grams that remain cannot reach the needed overlap.
+candidates.  Candidates whose sketches (bits for odd numbers of hashes) are close enough are then joined in tries:
+sorted arrays share the work on their common beginnings, and a subtree ends as soon as the n-grams that remain cannot
+reach the needed overlap.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ DOCUMENT, SHARED, BUNDLE = 0, 1, 2
 FLUSH_DOCUMENTS, FLUSH_SEGMENTS, TRIE = 20_000, 400_000, 256
 #: Levels of segments before single n-grams.
 LEVELS = 8
+#: Sketch bits for each n-gram of a set, at least.
+SKETCH = 2
 #: Sets and n-grams of a block.
 BLOCK_SETS, BLOCK_GRAMS = 1536, 3_000_000
 
@@ -94,6 +97,22 @@ def node_of(grams: np.ndarray) -> int:
     return int((mix(np.array([mix(grams).sum() + np.uint64(len(grams))], np.uint64)) | np.uint64(1)).view(np.int64)[0])
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """Bits that say whether an odd number of a set's hashes falls on each; their number is a power of two."""
+    bits = 64
+    while bits < SKETCH * len(grams):
+        bits *= 2
+    return differing([grams], bits).tobytes()
+
+
+def folded(body: bytes, words: int) -> np.ndarray:
+    """A sketch with so many words at most: halves are laid on one another, as if it had been made with fewer bits."""
+    out = np.frombuffer(body, np.uint64)
+    while len(out) > words:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
 def segments(grams: np.ndarray, bands: Bands) -> np.ndarray:
     """Digests of the segments of a set, for its own band as the smaller partner and the band before as the larger.
 
@@ -167,15 +186,15 @@ def paths(k: int, num: int, den: int, slots_: int):
         for batch in batches:
             ids, rows = zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist()), []
             for (doc, digest), grams in zip(ids, sets_of(batch.column("text"), k)):
-                node, handle = node_of(grams), None
+                node, handle, body = node_of(grams), None, None
                 if node and node not in nodes:
                     nodes.add(node)
-                    handle = task + seen
+                    handle, body = task + seen, sketch(grams)
                     keys.append(segments(grams, bands))
                     owners.append(handle)
                     held += len(keys[-1])
                     seen += 1
-                rows.append((seen % slots_, DOCUMENT, doc, digest, node, len(grams), handle, None, None, None))
+                rows.append((seen % slots_, DOCUMENT, doc, digest, node, len(grams), handle, None, None, body))
                 if held >= FLUSH_SEGMENTS or len(owners) >= FLUSH_DOCUMENTS:
                     yield from flush(base)
                     keys, owners, nodes, held, base = [], [], set(), 0, task + seen
@@ -309,10 +328,12 @@ def differing(grams: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def block_links(nodes: list[int], sides: list[int], labels: list[int], grams: list[np.ndarray], num: int, den: int):
+def block_links(nodes: list[int], sides: list[int], labels: list[int], sizes: list[int], bodies: list[bytes],
+                num: int, den: int):
     """Links between sets of different labels that join their components.  Sets come in sorted order; if both sides
     are there, only sets of different sides are compared."""
-    sizes = np.array([len(g) for g in grams], np.int64)
+    sizes = np.array(sizes, np.int64)
+    grams = [np.frombuffer(b, ">u8").astype(np.uint64) for b in bodies]
     marks = differing(grams, 64 * max(1, int(sizes.max()) // 16))
     side, two, label, out = np.array(sides), len(set(sides)) == 2, np.array(labels, np.int64), []
     for i in range(1, len(nodes)):
@@ -333,42 +354,78 @@ def block_links(nodes: list[int], sides: list[int], labels: list[int], grams: li
     return out
 
 
-def across(num: int, den: int):
-    """Task function over rows (task, node, side, label, grams) sorted by task and grams: links (a, b)."""
+def close(one: np.ndarray, other: np.ndarray, sizes, size: int, num: int, den: int):
+    """Whether sets with such sketches (a row each) and sizes may link with the set of the other sketch and size."""
+    apart = np.bitwise_count(one ^ other).sum(axis=-1, dtype=np.int64)
+    return ((np.minimum(sizes, size) * den >= np.maximum(sizes, size) * num)
+            & (apart * (den + num) <= (sizes + size) * (den - num)))
+
+
+def close_pairs(num: int, den: int):
+    """Task function over rows (a, b, size_a, size_b, sketch_a, sketch_b): pairs (a, b) that may link."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            columns = (batch.column(c).to_pylist() for c in ("size_a", "size_b", "sketch_a", "sketch_b"))
+            for size_a, size_b, one, other in zip(*columns):
+                words = min(len(one), len(other)) // 8
+                keep.append(bool(close(folded(one, words), folded(other, words), size_a, size_b, num, den)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def block_edges(nodes: list[int], sides: list[int], labels: list[int], sizes: list[int], bodies: list[bytes],
+                num: int, den: int):
+    """Edges that connect all sets of different labels that may link by their sketches; if both sides are there, only
+    sets of different sides are compared.  Edges are fewer than sets."""
+    size, label, side = np.array(sizes, np.int64), np.array(labels, np.int64), np.array(sides)
+    words, two = min(len(b) for b in bodies) // 8, len(set(sides)) == 2
+    marks, group, out = np.stack([folded(b, words) for b in bodies]), np.arange(len(nodes)), []
+    for i in range(1, len(nodes)):
+        apart = (label[:i] != label[i]) & (group[:i] != group[i])
+        if two:
+            apart &= side[:i] != side[i]
+        at = np.flatnonzero(apart)
+        for j in at[close(marks[at], marks[i], size[at], size[i], num, den)].tolist():
+            if group[j] != group[i]:
+                out.append((nodes[i], nodes[j]))
+                group[group == group[j]] = group[i]
+    return out
+
+
+def across(meet, num: int, den: int):
+    """Task function over rows (task, node, side, label, size, body) sorted by task: what `meet` finds in each task."""
 
     def run(batches):
         now, held = None, []
         for batch in batches:
             found = []
-            columns = (batch.column(c).to_pylist() for c in ("task", "node", "side", "label", "grams"))
-            for task, node, side, label, body in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("task", "node", "side", "label", "size", "body"))
+            for task, *row in zip(*columns):
                 if task != now:
                     if len(held) > 1:
-                        found += block_links(*map(list, zip(*held)), num, den)
+                        found += meet(*map(list, zip(*held)), num, den)
                     now, held = task, []
-                held.append((node, side, label, np.frombuffer(body, ">u8").astype(np.uint64)))
+                held.append(row)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
         if len(held) > 1:
-            found = block_links(*map(list, zip(*held)), num, den)
+            found = meet(*map(list, zip(*held)), num, den)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return run
 
 
-def links_across(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that join components of `shared` (key, node, size, label), where labels are components so far.
+def in_blocks(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (task, node, side, label, size) of the blocks that meet, from members (cluster, node, size, label).
 
-    Nodes that keys lead to from one another are a cluster.  A cluster that one task holds is one block; others have a
-    block for each label with many nodes and each band of sizes, salted to a bounded number of nodes and n-grams.
-    Pairs of blocks are compared unless their sizes are too far apart or they are of one large label.
+    A cluster that one task holds is one block; others have a block for each label with many nodes and each band of
+    sizes, salted to a bounded number of nodes and n-grams.  Pairs of blocks are compared unless their sizes are too
+    far apart or they are of one large label.
     """
-    hubs = shared.groupBy("key").agg(F.min("node").alias("hub"))
-    star = shared.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    clusters = kept(components(star.distinct()), "clusters").withColumnRenamed("component", "cluster")
-    members = kept(shared.select("node", "size", "label").distinct().join(clusters, "node"), "members")
-
     def parts_of(count, total):
         return F.greatest(F.ceil(count / F.lit(BLOCK_SETS)), F.ceil(total / F.lit(BLOCK_GRAMS))).cast("int")
 
@@ -381,7 +438,7 @@ def links_across(shared: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     sides = banded.groupBy("cluster", "large", "band").agg(
         parts_of(F.count("*"), F.sum("size")).alias("parts"), F.min("size").alias("low"), F.max("size").alias("high"))
     placed = banded.join(sides.select("cluster", "large", "band", "parts"), ["cluster", "large", "band"]).select(
-        "cluster", "node", "label",
+        "cluster", "node", "label", "size",
         F.struct("large", "band", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt")).alias("block"))
     blocks = sides.select("cluster", "low", "high", "large", "band", F.explode(
         F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")).select(
@@ -396,10 +453,36 @@ def links_across(shared: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     first = meet.select("cluster", F.col("block_1").alias("block"), "task", F.lit(0).alias("side"))
     second = meet.where("block_1 <> block_2").select(
         "cluster", F.col("block_2").alias("block"), "task", F.lit(1).alias("side"))
-    rows = first.union(second).join(placed, ["cluster", "block"]).select("task", "node", "side", "label")
-    dealt = rows.join(sets.select("node", "grams"), "node").repartition(
-        slots(shared.sparkSession), "task").sortWithinPartitions("task", "grams")
-    return dealt.mapInArrow(across(num, den), "a long, b long")
+    return first.union(second).join(placed, ["cluster", "block"]).select("task", "node", "side", "label", "size")
+
+
+def met_in(rows: DataFrame, bodies: DataFrame, meet, num: int, den: int) -> DataFrame:
+    """(a, b) that `meet` finds in each task of rows (task, node, side, label, size), with bodies (node, body)."""
+    dealt = rows.join(bodies, "node").repartition(slots(rows.sparkSession), "task").sortWithinPartitions("task", "body")
+    return dealt.mapInArrow(across(meet, num, den), "a long, b long")
+
+
+def clusters_of(shared: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """(cluster, node, size, label) of those nodes of `shared` (key, node, size, label) that may link to others of
+    another label.  They share a key and their sketches are close; nodes that such pairs lead to are one cluster.
+
+    Of the keys of the very same nodes one is looked at.  Nodes of a key meet as sketches, in blocks where they are
+    many, and only the edges that connect them leave a task.
+    """
+    shared = shared.repartition(slots(shared.sparkSession), "key")
+    keys = shared.groupBy("key").agg(
+        F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("_y"))
+    chosen = keys.where("_a < _b").groupBy("n", "_x", "_y").agg(F.min("key").alias("key")).select("key", "n")
+    open_ = kept(shared.join(chosen, "key"), "open")
+    little = open_.where(F.col("n") <= BLOCK_SETS).select(
+        F.col("key").alias("task"), "node", F.lit(0).alias("side"), "label", "size")
+    much = open_.where(F.col("n") > BLOCK_SETS).select(F.col("key").alias("cluster"), "node", "size", "label")
+    bodies = sketches.select("node", F.col("sketch").alias("body"))
+    edges = met_in(little, bodies, block_edges, num, den).union(
+        met_in(in_blocks(much, num, den), bodies, block_edges, num, den))
+    clusters = components(edges.distinct()).withColumnRenamed("component", "cluster")
+    return kept(open_.select("node", "size", "label").distinct().join(clusters, "node"), "clusters")
 
 
 def jaccard_components(documents: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -415,45 +498,60 @@ def jaccard_components(documents: DataFrame, k: int = 3, num: int = 90, den: int
     First each set is compared with one that it shares most segments with.  Then the sets that share a segment across
     components are gathered to clusters, and blocks of a cluster are compared: within a component a further link tells
     nothing, so blocks of one component do not meet, and no pair leaves its task but those that join components.
+    Before any two sets are compared, their sketches are: where these differ in more bits than linked sets could in
+    n-grams, the sets are not fetched.
     """
     spark = documents.sparkSession
     n = slots(spark)
     docs = documents.select("doc_id", F.xxhash64("text").alias("digest"), "text")
     told = kept(docs.mapInArrow(paths(k, num, den, n), WIRE).repartition(n, "slot").mapInArrow(met, WIRE), "paths", "kind")
-    rows = told.where(F.col("kind") == DOCUMENT).select("doc_id", "digest", "node", "size", "handle")
+    rows = told.where(F.col("kind") == DOCUMENT).select(
+        "doc_id", "digest", "node", "size", "handle", F.col("body").alias("sketch"))
     handles = rows.where("handle is not null").select("handle", "node", "size")
-    shared = kept(
-        told.where(F.col("kind") == SHARED).select("key", "handle").join(handles, "handle")
-        .select("key", "node", "size").distinct(), "shared")
+    # All that follows for a key reads one shuffle by it; copies in several tasks share keys with themselves alone.
+    keyed = told.where(F.col("kind") == SHARED).select("key", "handle").join(handles, "handle").select(
+        "key", "node", "size").repartition(n, "key").distinct()
 
     def near(small, large):
         return F.least(small, large) * den >= F.greatest(small, large) * num
 
-    least = shared.groupBy("key").agg(
+    least = keyed.groupBy("key").agg(
         F.min("node").alias("first"), F.max("node").alias("_last"), F.min_by("size", "node").alias("first_size")
     ).where("first < _last")
-    stars = shared.join(least, "key").where("node <> first").where(near(F.col("size"), F.col("first_size")))
+    shared = kept(keyed.join(least.drop("_last"), "key"), "shared")
+    stars = shared.where("node <> first").where(near(F.col("size"), F.col("first_size")))
     counted = stars.groupBy("node", "first").agg(F.count("*").alias("n"))
     pairs = kept(counted.groupBy("node").agg(F.max_by("first", F.struct("n", "first")).alias("first")).select(
         F.col("node").alias("a"), F.col("first").alias("b")), "pairs")
 
     active = shared.select("node").distinct()
-    place = rows.where("handle is not null").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("_at"))
-    wanted = place.join(active, "node").select(
-        "node", F.col("_at.doc_id").alias("_doc_id"), F.col("_at.digest").alias("_digest"))
-    # The texts of sets that share a segment with another.
-    here = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    texts = docs.join(wanted, here).select("node", "text")
-    made = texts.mapInArrow(checked_sets(k), "node long, size long, grams binary")
-    sets = kept(made.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
-
+    sketches = kept(rows.where("handle is not null").select("node", "size", "sketch").join(
+        active, "node", "left_semi").groupBy("node").agg(
+        F.first("size").alias("size"), F.first("sketch").alias("sketch")), "sketches")
+    ends = (sketches.select(*(F.col(c).alias(d) for c, d in (("node", x), ("size", f"size_{x}"), ("sketch", f"sketch_{x}"))))
+            for x in "ab")
+    pairs = kept(pairs.join(next(ends), "a").join(next(ends), "b").mapInArrow(
+        close_pairs(num, den), "a long, b long"), "close")
+    place = kept(rows.where("handle is not null").groupBy("node").agg(
+        F.min(F.struct("doc_id", "digest")).alias("_at")).join(active, "node", "left_semi"), "places")
+
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        """(node, grams) of these nodes, from one text of each."""
+        wanted = place.join(nodes.distinct(), "node").select(
+            "node", F.col("_at.doc_id").alias("_doc_id"), F.col("_at.digest").alias("_digest"))
+        here = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        made = docs.join(wanted, here).select("node", "text").mapInArrow(
+            checked_sets(k), "node long, size long, grams binary")
+        return kept(made.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
+
+    sets = sets_for(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
     links = kept(linked_pairs(pairs, sets, num, den), "links")
     labels = kept(components(links), "labels")
     labelled = shared.join(labels.withColumnRenamed("component", "label"), "node", "left").select(
         "key", "node", "size", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
-    open_ = labelled.join(mixed.select("key"), "key")
-    links = links.union(links_across(open_, sets, num, den))
+    members = clusters_of(labelled, sketches, num, den)
+    bodies = sets_for(members.select("node")).select("node", F.col("grams").alias("body"))
+    links = links.union(met_in(in_blocks(members, num, den), bodies, block_links, num, den))
     found = components(links)
     roots = rows.where("node <> 0").groupBy("node").agg(F.min("doc_id").alias("root"))
     grouped = roots.join(found, "node", "left").select(
