@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from simplexa.llm.components import components
 from simplexa.llm.store import kept, slots
+from simplexa.llm.urls import filled
 from simplexa.llm.words import byte_values, hashed_words, mix, parts, shingles, spaced_words
 
 WIRE = ("slot int, kind int, doc_id long, digest long, node long, size long, handle long, key long, base long,"
@@ -233,6 +234,17 @@ def met(batches):
         yield from shared_rows(np.zeros(len(at)), key[at], owner[at])
 
 
+def passing(wanted):
+    """Task function: rows whose digest may be in the filter."""
+
+    def run(batches):
+        for batch in batches:
+            digest = batch.column("digest").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(wanted.has(digest, digest)))
+
+    return run
+
+
 def checked_sets(k: int):
     """Task function: (node, text) to (node, size, grams) where the text has that node's set: the sorted
     hashes, big end first, so that bytes sort alike."""
@@ -536,11 +548,13 @@ def jaccard_components(documents: DataFrame, k: int = 3, num: int = 90, den: int
         F.min(F.struct("doc_id", "digest")).alias("_at")).join(active, "node", "left_semi"), "places")
 
     def sets_for(nodes: DataFrame) -> DataFrame:
-        """(node, grams) of these nodes, from one text of each."""
-        wanted = place.join(nodes.distinct(), "node").select(
-            "node", F.col("_at.doc_id").alias("_doc_id"), F.col("_at.digest").alias("_digest"))
+        """(node, grams) of these nodes, from one text of each.  Texts that no node can want are not shuffled."""
+        wanted = kept(place.join(nodes.distinct(), "node").select(
+            "node", F.col("_at.doc_id").alias("_doc_id"), F.col("_at.digest").alias("_digest")), "wanted")
+        digests = wanted.select(F.col("_digest").alias("h0"), F.col("_digest").alias("h1"))
+        some = docs.mapInArrow(passing(filled(digests, wanted.count(), 0.01, 0)), docs.schema)
         here = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        made = docs.join(wanted, here).select("node", "text").mapInArrow(
+        made = some.join(wanted, here).select("node", "text").mapInArrow(
             checked_sets(k), "node long, size long, grams binary")
         return kept(made.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
 
