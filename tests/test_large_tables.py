@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from registry.roles import Roles
-from simplexa.operators import diversity, joins, ordination, permanova, profile, reshape, selection
+from simplexa.operators import composition, diversity, joins, ordination, permanova, profile, reshape, selection
 from simplexa.plans import composed
 from simplexa.sources import sinks
 from tests.helpers import rows
@@ -138,3 +138,19 @@ def test_counts_are_dealt_by_their_rows(spark):
     table = spark.range(10)
     assert joins.spread_out(table, "id", rows=10, task_rows=1).rdd.getNumPartitions() == 10
     assert joins.spread_out(table, "id", rows=10, task_rows=9).rdd.getNumPartitions() == 4
+
+
+@pytest.mark.parametrize("metric", ["braycurtis", "jaccard", "aitchison"])
+def test_cells_are_not_copied_to_pairs_of_blocks(spark, metric):
+    counts = np.random.default_rng(4).integers(0, 4, (30, 9)) + np.eye(30, 9, dtype=int)
+    long = spark.createDataFrame(
+        [(f"s{i:02d}", f"f{j}", float(v)) for (i, j), v in np.ndenumerate(counts)],
+        "Sample string, FeatureID string, Value double")
+    table = composition.clr(long) if metric == "aitchison" else long
+    got = diversity.beta_diversity(table, metric, 4, 5)
+    # Stored blocks are read pair by pair: nothing grows with the number of pairs before the distances do.
+    assert "Exchange" not in plan(got) and "CartesianProduct" in plan(got)
+    whole = rows(diversity.beta_diversity(table, metric, 100, 100))
+    split = rows(got)
+    assert len(split) == 30 * 29 // 2 and [r[:2] for r in split] == [r[:2] for r in whole]
+    assert [r[2] for r in split] == pytest.approx([r[2] for r in whole])
