@@ -154,3 +154,35 @@ def test_cells_are_not_copied_to_pairs_of_blocks(spark, metric):
     split = rows(got)
     assert len(split) == 30 * 29 // 2 and [r[:2] for r in split] == [r[:2] for r in whole]
     assert [r[2] for r in split] == pytest.approx([r[2] for r in whole])
+
+
+def test_permutations_of_cells_are_not_shuffled(spark, monkeypatch):
+    """Rows that PERMANOVA of a sparse table shuffles do not follow the permutations; labels are those of the edge list."""
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 4, (40, 9)) + np.eye(40, 9, dtype=int)
+    sparse = composition.clr(spark.createDataFrame(
+        [(f"s{i:02d}", f"f{j}", float(v)) for (i, j), v in np.ndenumerate(counts)],
+        "Sample string, FeatureID string, Value double"))
+    labels = spark.createDataFrame(
+        [(f"s{i:02d}", f"g{g}") for i, g in enumerate(rng.integers(0, 4, 40))], "Sample string, g string")
+    edges = diversity.beta_diversity(sparse, "aitchison")
+    want = dict(rows(permanova.permutation_statistics(edges, labels, "g", 30), "permutation", "f"))
+
+    def none(*a, **k):
+        raise AssertionError("a row per sample and permutation")
+
+    monkeypatch.setattr(permanova, "permuted_labels", none)
+    stats = permanova.cell_statistics(sparse, labels, "g", 30, tile_labels=200, block_cells=50)
+    assert dict(rows(stats, "permutation", "f")) == pytest.approx(want, rel=1e-9)
+    assert "CartesianProduct" in plan(stats) and "FlatMapCoGroups" not in plan(stats)
+    # More groups than a byte holds.
+    many = spark.range(300).selectExpr("format_string('s%03d', id) Sample", "id")
+    wide = composition.clr(many.selectExpr(
+        "Sample", "explode(array('a', 'b')) FeatureID", "id").selectExpr(
+        "Sample", "FeatureID", "id * ascii(FeatureID) % 11 + 1.0D Value"))
+    named = many.selectExpr("Sample", "format_string('g%03d', id % 270) g")
+    monkeypatch.undo()
+    want = dict(rows(permanova.permutation_statistics(
+        diversity.beta_diversity(wide, "aitchison"), named, "g", 3), "permutation", "f"))
+    got = dict(rows(permanova.cell_statistics(wide, named, "g", 3), "permutation", "f"))
+    assert got == pytest.approx(want, rel=1e-6)
