@@ -186,3 +186,37 @@ def test_permutations_of_cells_are_not_shuffled(spark, monkeypatch):
         diversity.beta_diversity(wide, "aitchison"), named, "g", 3), "permutation", "f"))
     got = dict(rows(permanova.cell_statistics(wide, named, "g", 3), "permutation", "f"))
     assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_coordinates_store_and_shuffle_no_pairs(spark, monkeypatch):
+    from registry import queries
+
+    def none(*a, **k):
+        raise AssertionError("pairs are stored")
+
+    monkeypatch.setattr(queries, "stored", none)
+    assert QUERIES["m2_pcoa"](spark, FOLDER).count() > 0
+    # Edges in any order, which are added up one by one.
+    n, rng = 300, np.random.default_rng(2)
+    points = rng.normal(size=(n, 4)) * [4, 3, 2, 1]
+    gap = np.linalg.norm(points[:, None] - points[None], axis=2)
+    edges = [(f"s{i:03d}", f"s{j:03d}", float(gap[i, j])) for i in range(n) for j in range(i + 1, n)]
+    order = rng.permutation(len(edges))
+    frame = spark.createDataFrame([edges[i] for i in order], "sample_i string, sample_j string, distance double")
+    found = np.array([r[1:] for r in ordination.pcoa(frame.repartition(32), 2).orderBy("Sample").collect()])
+    centred = points - points.mean(axis=0)
+    largest = np.sort(np.linalg.eigvalsh(centred.T @ centred))[::-1][:2]
+    assert (found ** 2).sum(axis=0) == pytest.approx(largest, rel=1e-9)
+
+
+def test_the_space_of_products_starts_again(monkeypatch):
+    n, rng = 200, np.random.default_rng(8)
+    q = np.linalg.qr(rng.normal(size=(n, n)))[0]
+    q = np.linalg.qr(np.column_stack([np.ones(n), q[:, 1:]]))[0]
+    values = np.r_[0.0, 5, 4.8, rng.uniform(-3, 3, n - 3)]
+    matrix = (q * values) @ q.T
+    monkeypatch.setattr(ordination, "START_VECTORS", 6)
+    monkeypatch.setattr(ordination, "COMPONENT_CELLS", 2 * 30 * n)
+    found, vectors = ordination._leading(lambda x: matrix @ x, n, 2)
+    assert found == pytest.approx([5, 4.8], rel=1e-9)
+    assert np.abs(vectors.T @ q[:, 1:3]).max(axis=1) == pytest.approx([1, 1], abs=1e-7)
